@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from meshwork.llm import exact_dedup, packing, simhash
+from meshwork.llm import exact_dedup, langid, packing, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op3_quality": quality.op3_quality,
+    "op4_language": langid.op4_language,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_packing": packing.op9_packing,
 }
