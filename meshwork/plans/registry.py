@@ -1,19 +1,544 @@
-"""Registered queries of the graph operators and their SQL."""
+"""Registered queries of the graph operators, each with its SQL.
+
+Every query takes (spark, sf_dir) and applies one operator to the projection of the
+star schema; ``query(name, sql)`` keeps the two together.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meshwork.config import INDEX, SCORES
+from meshwork.functions import scalars as fn
+from meshwork.operators import degree, entities, fields, gates, index, quality, scoring, search, similarity, traverse, upsert, views
+from meshwork.operators.index import DOC, LINK
+from meshwork.plans.oracle import least, sigma, sql
+from meshwork.schema import EDGE_KEY, FROM_KEY, NODE_KEY, OBJECTS, TO_KEY
+from meshwork.sources.projection import AS_OF, Star, union
+from meshwork.sources.shared import kept
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+class Run(Star):
+    """The graph's derived tables, each made once as a lazy plan."""
+
+    @cached_property
+    def ended(self):
+        return fields.ended_edges(self.edge_fields, AS_OF)
+
+    @cached_property
+    def g1(self):
+        return traverse.unit_person(self.edges, self.edge_fields, self.mappings)
+
+    @cached_property
+    def g2(self):
+        return traverse.person_publication(self.authorships)
+
+    @cached_property
+    def g3(self):
+        return traverse.publication_concept(self.detections)
+
+    @cached_property
+    def g4(self):
+        return traverse.person_publication_concept(self.g2, self.g3)
+
+    @cached_property
+    def g5(self):
+        return traverse.unit_publication_concept(self.g1, self.g2, self.g3)
+
+    @cached_property
+    def slide_ends(self):
+        return self.slide_edges.select(F.col("to_object_id").alias("lecture_id"), F.col("from_object_id").alias("slide_id"))
+
+    @cached_property
+    def k1_raw(self):
+        courses = self.lecture_edges.select(F.col("to_object_id").alias("id"), F.col("from_object_id").alias("lecture_id"))
+        return scoring.slide_sums(courses, self.slide_ends, self.slide_detections)
+
+    @cached_property
+    def k1(self):
+        rows = self.k1_raw.where(fn.at_least("score", 1))
+        return scoring.bounded(rows)
+
+    @cached_property
+    def k5_raw(self):
+        return scoring.concept_sums(self.g4, "person_id", "Person", 0.1)
+
+    @cached_property
+    def k5(self):
+        return scoring.bounded(self.k5_raw)
+
+    @cached_property
+    def d3(self):
+        return fields.is_active_unit(self.nodes, self.node_fields, AS_OF)
+
+    @cached_property
+    def d4(self):
+        return fields.is_research_unit(self.nodes, self.node_fields)
+
+    @cached_property
+    def k6_raw(self):
+        return scoring.concept_sums(self.g5, "unit_id", "Unit", 1)
+
+    @cached_property
+    def k6(self):
+        return scoring.bounded(self.k6_raw, scoring.active_research(self.k6_raw, self.d3, self.d4))
+
+    @cached_property
+    def k7_raw(self):
+        return scoring.category_sums(self.category_cluster, self.cluster_concept, self.concept_symmetric)
+
+    @cached_property
+    def k7(self):
+        return scoring.bounded(self.k7_raw, self.k7_raw.where(fn.at_least("score", 1)))
+
+    @cached_property
+    def k8(self):
+        slide, abstract = "slide sum-scores aggregation (bounded)", "abstract sum-scores aggregation (bounded)"
+        calculated = union([scoring.labelled(self.k1, slide), scoring.labelled(self.k5, abstract), scoring.labelled(self.k6, abstract), scoring.labelled(self.k7, "concept sum-scores aggregation (bounded)")])
+        return scoring.union_scores(calculated, self.detections, self.manual_mapping)
+
+    @cached_property
+    def k9(self):
+        return scoring.scoring_matrix(self.k8)
+
+    @cached_property
+    def k10(self):
+        return scoring.final_scores(self.k9)
+
+    @cached_property
+    def k10_kept(self):
+        """Read by the category and degree scores and by the index: computed once."""
+        return kept(self.k10)
+
+    @cached_property
+    def k13_kept(self):
+        return kept(self.k13)
+
+    def k10_of(self, *kinds: str):
+        """Final scores of some types; the other types' formulas are not run."""
+        parts = {"Person": lambda: scoring.labelled(self.k5, "abstract sum-scores aggregation (bounded)"), "Unit": lambda: scoring.labelled(self.k6, "abstract sum-scores aggregation (bounded)")}
+        rows = union([parts[k]() for k in kinds]).where(fn.at_least("score", 0.1))
+        return scoring.final_scores(scoring.scoring_matrix(rows))
+
+    @cached_property
+    def k11(self):
+        return scoring.category_raw(self.k10_kept, self.category_cluster, self.cluster_concept)
+
+    @cached_property
+    def k12(self):
+        return scoring.category_means(self.k11)
+
+    @cached_property
+    def k13(self):
+        return scoring.category_final(self.k11, self.k12)
+
+    @cached_property
+    def n1(self):
+        inverse = degree.edge_degrees(self.edges.where("from_object_type <> to_object_type"), inverse=True)
+        return union([
+            degree.edge_degrees(self.edges), inverse,
+            degree.ontology_degrees(self.k10_kept, "concept_id", "Concept"), degree.ontology_degrees(self.k10_kept, "concept_id", "Concept", inverse=True),
+            degree.ontology_degrees(self.k13_kept, "category_id", "Category"), degree.ontology_degrees(self.k13_kept, "category_id", "Category", inverse=True),
+        ])
+
+    @cached_property
+    def n4(self):
+        return degree.normalised(self.n1)
+
+    @cached_property
+    def n5(self):
+        return kept(degree.degree_scores(self.n4))
+
+    @cached_property
+    def x1(self):
+        return similarity.similarity(self.k10_of("Person"), [("Person", "Person")])
+
+    @cached_property
+    def x4(self):
+        return similarity.adjusted(self.x1)
+
+    @cached_property
+    def expired(self):
+        return gates.expire(self.state, AS_OF)
+
+    @cached_property
+    def fresh(self):
+        return gates.refresh(self.expired)
+
+    @cached_property
+    def calculated(self):
+        return union([fields.is_at_institution(self.affiliations, self.edge_fields, AS_OF), self.d3, self.d4, fields.subtype_rank(self.node_fields, self.mappings)])
+
+    @cached_property
+    def person_docs(self):
+        return index.doc_fields(self.profiles, fields.is_at_institution(self.affiliations, self.edge_fields, AS_OF), self.n5, "Person", ["is_at_institution"])
+
+    @cached_property
+    def org(self):
+        """Unit-person links, ranked."""
+        both = views.parent_child_symmetric([self.affiliations])
+        own = views.mirrored(fields.is_active_affiliation(self.affiliations, self.edge_fields, AS_OF))
+        wide = views.pivot_fields(own, EDGE_KEY, ["is_active_affiliation"]).select(*(F.col(a).alias(b) for a, b in zip(FROM_KEY + TO_KEY, DOC + LINK, strict=True)), "is_active_affiliation")
+        links = index.org_edges(both, "Unit", "Person").join(wide, DOC + LINK, "left")
+        return index.with_link_columns(links, self.person_docs, ["is_at_institution", "degree_score"])
+
+    @cached_property
+    def sem(self):
+        return index.with_link_columns(index.sem_edges(self.x4, "Person", "Person"), self.person_docs, ["is_at_institution", "degree_score"])
+
+
+def query(name: str, oracle: str | None = None, views_: bool = True):
+    """Registers a function of a Run as a query, with its SQL."""
+    def keep(f):
+        _QUERIES[name] = lambda spark, sf_dir: f(Run(spark, sf_dir))
+        if oracle is not None:
+            _SQL[name] = sql(oracle) if views_ else oracle
+        return f
+
+    return keep
+
+
+def r6(c: str):
+    return F.round(c, 6).alias(c)
+
+
+def big(c: str):
+    return F.col(c).cast("bigint").alias(c)
+
+
+# ---- projection, predicates
+query("p1_projection", "SELECT c_custkey AS person, 'Person' AS object_type, c_name AS title FROM customer")(lambda g: g.table("customer").select(F.col("c_custkey").alias("person"), F.lit("Person").alias("object_type"), F.col("c_name").alias("title")))
+query("p2_gated_filter", "SELECT object_type, object_id FROM v_state WHERE to_process = 1 AND object_type = 'Person'")(lambda g: g.state.where("to_process = 1 AND object_type = 'Person'").select("object_type", "object_id"))
+query("p3_rowvalue_filter", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F'")(lambda g: g.table("lineitem").where(fn.rows_equal(["l_returnflag", "l_linestatus"], [F.lit("A"), F.lit("F")])).select("l_orderkey", "l_linenumber", "l_partkey"))
+
+
+@query("p4_tuple_in", "SELECT o_orderkey FROM orders WHERE (o_orderstatus, o_orderpriority) IN (('F', '1-URGENT'), ('O', '2-HIGH'))")
+def _(g):
+    wanted = g.spark.createDataFrame([("F", "1-URGENT"), ("O", "2-HIGH")], "o_orderstatus string, o_orderpriority string")
+    return g.table("orders").join(F.broadcast(wanted), wanted.columns, "left_semi").select("o_orderkey")
+
+
+query("p5_in_list", "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE') AND c_nationkey NOT IN (1, 2)")(lambda g: g.table("customer").where(F.col("c_mktsegment").isin("BUILDING", "FURNITURE") & ~F.col("c_nationkey").isin(1, 2)).select("c_custkey"))
+query("p6_or_of_tuples", "SELECT s_suppkey FROM supplier WHERE (s_nationkey = 1 AND s_acctbal > 0) OR (s_nationkey = 2 AND s_acctbal > 100)")(lambda g: g.table("supplier").where("(s_nationkey = 1 AND s_acctbal > 0) OR (s_nationkey = 2 AND s_acctbal > 100)").select("s_suppkey"))
+query("p7_between", "SELECT o_orderkey FROM orders WHERE o_orderkey BETWEEN 100 AND 499")(lambda g: g.table("orders").where(F.col("o_orderkey").between(100, 499)).select("o_orderkey"))
+query("p8_is_null", "SELECT object_type, object_id FROM v_state WHERE last_date_cached IS NULL")(lambda g: g.state.where("last_date_cached IS NULL").select("object_type", "object_id"))
+query("p9_nullsafe_change", "SELECT object_type, object_id FROM v_state WHERE checksum_current IS DISTINCT FROM checksum_previous")(lambda g: g.state.where(fn.differs("checksum_current", "checksum_previous")).select("object_type", "object_id"))
+query("p10_config_filter", "SELECT unit_id FROM v_active WHERE active = 1 AND research = 1")(lambda g: _config_filter(g))
+query("p11_date_expiry", "SELECT object_type, object_id FROM v_old WHERE old")(lambda g: g.state.where(gates.is_old(AS_OF, 90)).select("object_type", "object_id"))
+query("p12_empty_predicate", "SELECT c_custkey FROM customer WHERE false")(lambda g: g.table("customer").where(fn.any_of([])).select("c_custkey"))
+
+
+def _config_filter(g):
+    wide = views.pivot_fields(union([g.d3, g.d4]), NODE_KEY, ["is_active_unit", "is_research_unit"])
+    for predicate in INDEX.link_filters["Unit"]:
+        wide = wide.where(F.expr(predicate))
+    return wide.select(F.col("object_id").alias("unit_id"))
+
+
+# ---- joins
+query("j1_multi_key_join", "SELECT person_id, unit_id, field_name, field_value FROM v_affil JOIN v_efields USING (person_id, unit_id)")(lambda g: g.affiliations.join(g.edge_fields.drop("context"), EDGE_KEY).select(F.col("from_object_id").alias("person_id"), F.col("to_object_id").alias("unit_id"), "field_name", "field_value"))
+query("j2_snowflake", "SELECT r_name, n_name, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")(lambda g: g.table("orders").join(g.table("customer"), F.col("o_custkey") == F.col("c_custkey")).join(g.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(g.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name", "n_name").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")))
+
+
+@query("j3_theta_self", "SELECT a.concept_id, count(*) AS n_pairs FROM v_k6 a JOIN v_k6 b ON a.concept_id = b.concept_id AND a.unit_id <= b.unit_id GROUP BY ALL")
+def _(g):
+    a = g.k6.select("concept_id", F.col("object_id").alias("a"))
+    return a.join(a.withColumnRenamed("a", "b"), "concept_id").where("a <= b").groupBy("concept_id").agg(F.count("*").alias("n_pairs"))
+
+
+query("j4_left_outer", "SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL")(lambda g: g.table("orders").join(g.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("m")), "o_orderkey", "left").select("o_orderkey", F.coalesce("m", F.lit(0)).cast("bigint").alias("n")))
+query("j5_anti_sync", "SELECT object_type, object_id FROM v_nodes ANTI JOIN v_state USING (object_type, object_id)")(lambda g: upsert.insert_absent(g.state, g.nodes, NODE_KEY).select("object_type", "object_id"))
+query("j6_not_in_tuple", "SELECT unit_id, concept_id FROM v_k6raw WHERE (unit_id, concept_id) NOT IN (SELECT unit_id, concept_id FROM v_k6raw WHERE round(score, 9) >= 5)")(lambda g: g.k6_raw.join(g.k6_raw.where(fn.at_least("score", 5)), [*NODE_KEY, "concept_id"], "left_anti").select(F.col("object_id").alias("unit_id"), "concept_id"))
+query("j7_exists_flag", "SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') THEN 1 ELSE 0 END AS has_open FROM customer")(lambda g: g.table("customer").join(g.table("orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("h", F.lit(1)), "c_custkey", "left").select("c_custkey", F.coalesce("h", F.lit(0)).alias("has_open")))
+query("j8_semi_cast", "SELECT person_id, publication_id FROM v_author WHERE CAST(person_id AS BIGINT) IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")(lambda g: g.g2.withColumn("c_custkey", fn.number("person_id", "bigint")).join(g.table("customer").where("c_mktsegment = 'BUILDING'").select("c_custkey"), "c_custkey", "left_semi").select("person_id", "publication_id"))
+query("j9_or_join", "SELECT DISTINCT from_id, to_id FROM v_undir JOIN (SELECT concept_id AS id FROM v_cc WHERE category_id = 'PROMO') ON from_id = id OR to_id = id")(lambda g: traverse.touching(g.concept_undirected.select("from_id", "to_id"), g.parts.where("p_type = 'PROMO'").select(F.col("concept_id").alias("id")).distinct()))
+query("j10_scalar_cross", "SELECT p_partkey, round(p_retailprice / (SELECT avg(p_retailprice) FROM part), 6) AS relative FROM part")(lambda g: g.table("part").crossJoin(F.broadcast(g.table("part").agg(F.avg("p_retailprice").alias("m")))).select("p_partkey", F.round(F.col("p_retailprice") / F.col("m"), 6).alias("relative")))
+query("j12_eav_pivot", "SELECT object_id, max(field_value) FILTER (field_name = 'year') AS year, max(field_value) FILTER (field_name = 'publisher') AS publisher FROM v_nfields WHERE object_type = 'Publication' GROUP BY ALL")(lambda g: views.pivot_fields(g.node_fields.where("object_type = 'Publication'"), NODE_KEY, ["year", "publisher"]).select("object_id", "year", "publisher"))
+query("j13_mapping_chain", "SELECT person_id, grp AS position_group, rank AS position_rank FROM v_affil JOIN v_positions ON name = c_mktsegment WHERE rank <= '3'")(lambda g: g.g1.select("person_id", "position_group", "position_rank"))
+query("j15_update_join", "SELECT object_type, object_id, CASE WHEN object_type = 'Person' THEN 1 ELSE to_process END AS to_process FROM v_state")(lambda g: upsert.update_join(g.state, g.state.where("object_type = 'Person'").select(NODE_KEY), NODE_KEY, {"to_process": F.lit(1)}).select("object_type", "object_id", "to_process"))
+query("j16_inner_by_where", "SELECT object_id, rank FROM v_nfields JOIN (VALUES ('Laboratory', '1'), ('Group', '2'), ('Center', '3'), ('School', '4')) t(s, rank) ON field_value = s WHERE field_name = 'subtype'")(lambda g: fields.subtype_rank(g.node_fields, g.mappings).select("object_id", F.col("field_value").alias("rank")))
+
+# ---- aggregates
+query("a1_count", "SELECT object_type, count(*) AS n FROM v_nodes GROUP BY ALL")(lambda g: g.nodes.groupBy("object_type").agg(F.count("*").alias("n")))
+query("a2_count_distinct", "SELECT person_id, count(DISTINCT concept_id) AS n FROM v_g4 GROUP BY ALL")(lambda g: g.g4.groupBy("person_id").agg(F.count_distinct("concept_id").alias("n")))
+query("a3_sum", "SELECT l_suppkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem GROUP BY ALL")(lambda g: g.table("lineitem").groupBy("l_suppkey").agg(F.round(F.sum(F.expr("l_extendedprice * (1 - l_discount)")), 2).alias("revenue")))
+query("a4_dot_product", "SELECT a.unit_id AS u1, b.unit_id AS u2, round(sum(a.score * b.score), 6) AS dot FROM v_k6 a JOIN v_k6 b ON a.concept_id = b.concept_id AND a.unit_id < b.unit_id GROUP BY ALL")(lambda g: _dot(g))
+query("a5_averages", "SELECT object_type, round(avg(avg_degree), 6) AS degree, round(avg(avg_norm_log_degree), 6) AS norm FROM v_n5 GROUP BY ALL")(lambda g: g.n5.groupBy("object_type").agg(F.round(F.avg("avg_degree"), 6).alias("degree"), F.round(F.avg("avg_norm_log_degree"), 6).alias("norm")))
+query("a6_max", "SELECT l_suppkey, max(l_quantity) AS m FROM lineitem GROUP BY ALL")(lambda g: g.table("lineitem").groupBy("l_suppkey").agg(F.max("l_quantity").alias("m")))
+query("a7_string_max", "SELECT course_id, person_id, max(y) AS y FROM v_years GROUP BY ALL")(lambda g: g.teaching_years.groupBy(F.col("from_object_id").alias("course_id"), F.col("to_object_id").alias("person_id")).agg(F.max("field_value").alias("y")))
+query("a8_cond_count", "SELECT object_type, count(*) FILTER (last_date_cached IS NULL) AS never, count(*) FILTER (to_process = 1) AS todo FROM v_state GROUP BY ALL")(lambda g: g.state.groupBy("object_type").agg(F.count_if(F.col("last_date_cached").isNull()).alias("never"), F.count_if(F.col("to_process") == 1).alias("todo")))
+query("a9_global_mean", "SELECT round(coalesce(avg(score), 1), 9) AS mean FROM v_k5raw")(lambda g: scoring.mean_or_one(g.k5_raw).select(F.round("mean_", 9).alias("mean")))
+query("a10_having", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY ALL HAVING count(*) >= 12")(lambda g: g.table("orders").groupBy("o_custkey").agg(F.count("*").alias("n")).where("n >= 12"))
+query("a11_having_pair", "SELECT l_suppkey, l_partkey, count(DISTINCT l_orderkey) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_orderkey) >= 2 AND sum(l_quantity) >= 30")(lambda g: g.table("lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count_distinct("l_orderkey").alias("n"), F.sum("l_quantity").alias("q")).where("n >= 2 AND q >= 30"))
+query("a12_cost_estimate", f"SELECT sum(n * (n - 1) / 2)::BIGINT AS candidates FROM (SELECT concept_id, count(*) AS n FROM v_k10 WHERE object_type = 'Person' AND {least('score', 0.1)} GROUP BY ALL)")(lambda g: similarity.candidate_estimate(g.k10_of("Person"), [("Person", "Person")]).select("candidates"))
+query("a13_case_pivot", "SELECT o_custkey, max(o_totalprice) FILTER (o_orderstatus = 'F') AS f, max(o_totalprice) FILTER (o_orderstatus = 'O') AS o FROM orders GROUP BY ALL")(lambda g: g.table("orders").groupBy("o_custkey").agg(F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("f"), F.max(F.when(F.col("o_orderstatus") == "O", F.col("o_totalprice"))).alias("o")))
+query("a14_min_max", "SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders")(lambda g: g.table("orders").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")))
+query("a15_distinct", "SELECT DISTINCT from_object_type, to_object_type FROM v_edges")(lambda g: g.edges.select("from_object_type", "to_object_type").distinct())
+query("a16_functional_group", "SELECT c_nationkey, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")(lambda g: g.table("customer").join(F.broadcast(g.table("nation")), F.col("c_nationkey") == F.col("n_nationkey")).groupBy("c_nationkey", "n_name").agg(F.count("*").alias("n")))
+query("a17_max_by", "SELECT o_custkey, max(o_totalprice) AS top, arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS o_orderkey FROM orders GROUP BY ALL")(lambda g: g.table("orders").groupBy("o_custkey").agg(F.max("o_totalprice").alias("top"), F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("o_orderkey")))
+query("a18_eval_count", "SELECT from_object_type, to_object_type, count(*) AS n FROM v_edges GROUP BY ALL")(lambda g: g.edges.groupBy("from_object_type", "to_object_type").agg(F.count("*").alias("n")))
+
+
+def _dot(g):
+    a = g.k6.select("concept_id", F.col("object_id").alias("u1"), F.col("score").alias("s1"))
+    b = a.select("concept_id", F.col("u1").alias("u2"), F.col("s1").alias("s2"))
+    return a.join(b, "concept_id").where("u1 < u2").groupBy("u1", "u2").agg(F.round(F.sum(F.expr("s1 * s2")), 6).alias("dot"))
+
+
+# ---- windows, order, sets
+query("w1_expire_topn", "SELECT object_type, object_id FROM v_expired WHERE has_expired = 1")(lambda g: g.expired.where("has_expired = 1").select("object_type", "object_id"))
+query("w2_link_rank", "SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders")(lambda g: g.table("orders").selectExpr("o_custkey", "o_orderkey", "cast(row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as bigint) as rn"))
+query("w3_rank_score", "SELECT o_orderkey, round(0.5e0 + 1e0 / (1 + row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)), 9) AS row_score FROM orders")(lambda g: g.table("orders").selectExpr("o_orderkey", "row_number() over (partition by o_custkey order by o_orderkey) as rn").select("o_orderkey", F.round(fn.rank_score("rn"), 9).alias("row_score")))
+query("w4_latest_row", "SELECT from_id, to_id, field_value FROM (SELECT CAST(c_custkey AS VARCHAR) AS from_id, CAST(c_nationkey AS VARCHAR) AS to_id, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority ELSE 'fr ' || o_orderpriority END AS field_value, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate DESC, o_orderkey) AS n FROM orders JOIN customer ON o_custkey = c_custkey) WHERE n = 1")(lambda g: fields.last_position_name(g.histories, g.nodes.where("object_type = 'Person'")).select("from_id", "to_id", "field_value"))
+query("w5_longest_row", "SELECT from_id, to_id, field_value FROM (SELECT CAST(c_custkey AS VARCHAR) AS from_id, CAST(c_nationkey AS VARCHAR) AS to_id, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority ELSE 'fr ' || o_orderpriority END AS field_value, row_number() OVER (PARTITION BY c_custkey ORDER BY CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 400 + 1 ELSE DATE '2001-08-02' - CAST(o_orderdate AS DATE) END DESC, o_orderkey) AS n FROM orders JOIN customer ON o_custkey = c_custkey) WHERE n = 1")(lambda g: fields.longest_position_name(g.histories, g.nodes.where("object_type = 'Person'"), AS_OF).select("from_id", "to_id", "field_value"))
+_ORG_RANK = "row_number() OVER (PARTITION BY o.doc_id ORDER BY is_at_institution DESC NULLS LAST, is_active_affiliation DESC NULLS LAST, round(degree_score, 9) DESC NULLS LAST, link_id)"
+_ORG_SQL = f"SELECT o.doc_id AS doc_id, link_id, is_active_affiliation, is_at_institution, degree_score, {_ORG_RANK} AS row_rank FROM v_org o JOIN (SELECT doc_id AS link_id, is_at_institution, degree_score FROM v_pdoc) p USING (link_id)"
+_ORG_RULES = [("is_at_institution", "DESC"), ("is_active_affiliation", "DESC")]
+
+
+def ranked_org(g):
+    rows = g.org.withColumn("_s", F.round("degree_score", 9))
+    return index.rank_links(rows, _ORG_RULES, "_s").drop("_s")
+
+
+def ranked_sem(g, k=None):
+    rows = g.sem.withColumn("_s", F.round("semantic_score", 9))
+    return index.rank_links(rows, INDEX.order("Person", "Person"), "_s", k).drop("_s")
+
+
+query("w6_rank_offset", "SELECT o_orderkey, CAST(o_orderkey % 5 + (SELECT max(l_linenumber) FROM lineitem) AS BIGINT) AS shifted FROM orders")(lambda g: g.table("orders").crossJoin(F.broadcast(g.table("lineitem").agg(F.max("l_linenumber").alias("m")))).select("o_orderkey", (F.col("o_orderkey") % 5 + F.col("m")).cast("bigint").alias("shifted")))
+query("o1_order_by", "SELECT c_custkey, c_name FROM customer ORDER BY c_name")(lambda g: g.table("customer").select("c_custkey", "c_name").orderBy("c_name"))
+query("o2_dynamic_order", _ORG_SQL.replace("SELECT o.doc_id AS doc_id, link_id, is_active_affiliation, is_at_institution, degree_score,", "SELECT o.doc_id AS doc_id, link_id,"))(lambda g: ranked_org(g).select("doc_id", "link_id", big("row_rank")))
+query("o3_topk", "SELECT doc_id, link_id, row_rank FROM (SELECT o_custkey AS doc_id, o_orderkey AS link_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS row_rank FROM orders) WHERE row_rank <= 3")(lambda g: g.table("orders").selectExpr("o_custkey as doc_id", "o_orderkey as link_id", "row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as row_rank").where("row_rank <= 3").select("doc_id", "link_id", big("row_rank")))
+query("o4_random_rows")(lambda g: quality.random_rows(g.table("orders").select("o_orderkey"), 50))
+query("o5_stratified_sample")(lambda g: quality.stratified_rows(g.nodes.select("object_type", "object_id"), ["object_type"], 5, keys=["object_id"]))
+query("u1_symmetric_union", "SELECT from_object_type, from_object_id, to_object_type, to_object_id FROM v_edges UNION ALL SELECT to_object_type, to_object_id, from_object_type, from_object_id FROM v_edges")(lambda g: g.edges.unionByName(views.mirrored(g.edges)).select("from_object_type", "from_object_id", "to_object_type", "to_object_id"))
+query("u2_union_distinct", "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")(lambda g: g.table("customer").select(F.col("c_nationkey").alias("k")).union(g.table("supplier").select("s_nationkey")).distinct())
+query("u3_difference", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)")(lambda g: g.table("part").join(g.table("lineitem").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti").select("p_partkey"))
+
+
+# ---- keyed changes
+def _target(g):
+    return g.table("customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("score"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment")).alias("segment"))
+
+
+def _source(g):
+    return g.table("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), (F.col("c_acctbal") + F.when(F.col("c_custkey") % 4 == 0, 1e-7).otherwise(1.0)).alias("score"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("segment"))
+
+
+_T = "SELECT c_custkey AS k, c_name AS name, c_acctbal AS score, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment FROM customer WHERE c_custkey % 3 <> 0"
+_S = "SELECT c_custkey AS k, c_acctbal + CASE WHEN c_custkey % 4 = 0 THEN 1e-7 ELSE 1e0 END AS score, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS segment FROM customer WHERE c_custkey % 2 = 0"
+query("m1_replace", f"WITH t AS ({_T}), s AS ({_S}) SELECT * FROM t WHERE k NOT IN (SELECT k FROM s) UNION ALL SELECT k, 'unnamed', score, segment FROM s")(lambda g: upsert.replace_into(_target(g), _source(g), ["k"], {"name": F.lit("unnamed")}))
+query("m2_safe_upsert", f"WITH t AS ({_T}), s AS ({_S}) SELECT k, t.name AS name, CASE WHEN s.k IS NOT NULL THEN s.score ELSE t.score END AS score, CASE WHEN s.k IS NOT NULL THEN s.segment ELSE t.segment END AS segment FROM t FULL JOIN s USING (k)")(lambda g: upsert.safe_upsert(_target(g), _source(g), ["k"], ["score", "segment"]))
+query("m3_upsert_last_wins", "SELECT o_custkey AS k, CAST(NULL AS VARCHAR) AS name, max(o_totalprice) AS score FROM orders GROUP BY ALL")(lambda g: upsert.safe_upsert(g.spark.createDataFrame([], "k bigint, name string, score double"), g.table("orders").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("score")), ["k"], ["score"]))
+query("m5_change_report", f"WITH t AS ({_T}), s AS ({_S}) SELECT k, CASE WHEN t.k IS NULL THEN 'key is new' ELSE 'key exists' END AS key_status, CASE WHEN t.score IS NOT DISTINCT FROM s.score OR abs(t.score - s.score) < 1e-6 THEN 'no change' WHEN s.score IS NULL THEN 'set to null' ELSE 'new value' END AS score_change, CASE WHEN t.segment IS NOT DISTINCT FROM s.segment THEN 'no change' WHEN s.segment IS NULL THEN 'set to null' ELSE 'new value' END AS segment_change FROM s LEFT JOIN t USING (k)")(lambda g: upsert.change_report(_target(g), _source(g), ["k"], ["score", "segment"]))
+query("m6_update_join", f"WITH t AS ({_T}), s AS ({_S}) SELECT k, t.name AS name, t.score AS score, CASE WHEN s.k IS NOT NULL AND s.segment IS NOT NULL THEN s.segment ELSE t.segment END AS segment FROM t LEFT JOIN s USING (k)")(lambda g: upsert.update_join(_target(g), _source(g), ["k"], {"segment": "s.segment"}, F.expr("s.segment IS NOT NULL")))
+query("m7_cascade_delete", "SELECT from_object_type, from_object_id, to_object_type, to_object_id, context FROM v_edges WHERE NOT (from_object_type = 'Person' AND TRY_CAST(from_object_id AS INT) % 10 = 0) AND NOT (to_object_type = 'Person' AND TRY_CAST(to_object_id AS INT) % 10 = 0)")(lambda g: upsert.delete_nodes({"edges": g.edges}, g.nodes.where("object_type = 'Person' AND try_cast(object_id AS INT) % 10 = 0"))["edges"].select("from_object_type", "from_object_id", "to_object_type", "to_object_id", "context"))
+query("m8_delete_edges", "SELECT person_id, unit_id, field_name FROM v_efields WHERE unit_id <> '3'")(lambda g: upsert.delete_edges({"f": g.edge_fields}, g.affiliations.where("to_object_id = '3'"))["f"].select(F.col("from_object_id").alias("person_id"), F.col("to_object_id").alias("unit_id"), "field_name"))
+query("m9_delete_concepts", "SELECT publication_id, concept_id FROM v_det WHERE CAST(publication_id AS INT) % 2 = 1")(lambda g: upsert.delete_concepts(g.detections, g.nodes.where("object_type = 'Publication' AND try_cast(object_id AS INT) % 2 = 0")).select(F.col("object_id").alias("publication_id"), "concept_id"))
+query("m10_set_cells", f"WITH t AS ({_T}) SELECT k, name, CASE WHEN segment = 'BUILDING' THEN -1e0 ELSE score END AS score, segment FROM t")(lambda g: upsert.set_cells(_target(g), {"segment": "BUILDING"}, {"score": -1.0}))
+query("m11_insert_absent", f"WITH t AS ({_T}), s AS ({_S}) SELECT * FROM s WHERE k NOT IN (SELECT k FROM t)")(lambda g: upsert.insert_absent(_target(g), _source(g), ["k"]))
+query("m12_eval_counts", f"WITH t AS ({_T}), s AS ({_S}) SELECT s.segment AS segment, count(*) AS n_total, count(*) FILTER (t.k IS NULL OR t.segment IS DISTINCT FROM s.segment) AS n_patch FROM s LEFT JOIN t USING (k) GROUP BY ALL")(lambda g: upsert.eval_counts(_target(g), _source(g), ["k"], ["segment"], ["segment"]))
+query("m13_insert_ignore", f"WITH t AS ({_T}), s AS ({_S}) SELECT * FROM t UNION ALL SELECT k, NULL, score, segment FROM s WHERE k NOT IN (SELECT k FROM t)")(lambda g: upsert.insert_ignore(_target(g), _source(g), ["k"]))
+
+
+# ---- change tracking
+def _flags(g):
+    return gates.type_flags(g.spark, [("Person", 1, 1), ("Publication", 1, 0), ("Course", 0, 1)])
+
+
+query("c1_type_flags", "SELECT * FROM (VALUES ('TST', 'Person', 'fields', 1), ('TST', 'Person', 'scores', 1), ('TST', 'Publication', 'fields', 1), ('TST', 'Publication', 'scores', 0), ('TST', 'Course', 'fields', 0), ('TST', 'Course', 'scores', 1)) t(institution_id, object_type, flag_type, to_process)")(_flags)
+query("c2_config_pairs", "SELECT * FROM (VALUES ('Course', 'Person', 0), ('Person', 'Unit', 1)) t(type_1, type_2, to_process)")(lambda g: gates.config_pairs(_flags(g), gates.edge_type_flags(g.spark, [("Person", "Unit", 1), ("Course", "Person", 0)]))[1])
+query("c4_gate", "SELECT object_type, object_id FROM v_nodes SEMI JOIN (SELECT object_type, object_id FROM v_state WHERE to_process = 1) USING (object_type, object_id) WHERE object_type IN ('Person', 'Publication')")(lambda g: gates.gate(g.nodes, g.state, _flags(g)).select("object_type", "object_id"))
+query("c5_sync_nodes", "SELECT object_type, object_id, to_process FROM v_state UNION ALL SELECT object_type, object_id, 1 FROM v_nodes ANTI JOIN v_state USING (object_type, object_id)")(lambda g: gates.sync(g.state, g.nodes, NODE_KEY).select("object_type", "object_id", "to_process"))
+query("c6_sync_edges", "SELECT DISTINCT from_object_type, from_object_id, to_object_type, to_object_id, 1 AS to_process FROM v_edges")(lambda g: gates.sync(g.spark.createDataFrame([], ", ".join(f"{c} string" for c in EDGE_KEY) + ", to_process int"), union([g.edges, g.slide_edges.limit(0)]), EDGE_KEY).select("from_object_type", "from_object_id", "to_object_type", "to_object_id", "to_process"))
+query("c7_sync_scores", "SELECT object_type, object_id, 0 AS to_process FROM v_nodes")(lambda g: gates.sync(g.spark.createDataFrame([], "institution_id string, object_type string, object_id string, to_process int"), g.nodes, NODE_KEY, 0).select("object_type", "object_id", "to_process"))
+query("c8_reset", "SELECT object_type, object_id, CASE WHEN object_type = 'Person' THEN 0 ELSE to_process END AS to_process FROM v_state")(lambda g: gates.reset(g.state, g.spark.createDataFrame([("Person",)], "object_type string")).select("object_type", "object_id", "to_process"))
+query("c9_randomize")(lambda g: gates.randomize(g.state, AS_OF).select("object_type", "object_id", "last_date_cached"))
+query("c10_expire", "SELECT object_type, object_id, has_expired FROM v_expired")(lambda g: g.expired.select("object_type", "object_id", "has_expired"))
+query("c11_refresh", "SELECT object_type, object_id, has_changed, has_expired, to_process FROM v_fresh")(lambda g: g.fresh.select("object_type", "object_id", "has_changed", "has_expired", "to_process"))
+query("c12_stats", "SELECT object_type, count(*) FILTER (last_date_cached IS NULL) AS new_or_never_cached, count(*) FILTER (has_changed = 1) AS checksum_changed, count(*) FILTER (has_expired = 1) AS cache_expired, count(*) FILTER (to_process = 1) AS to_process FROM v_fresh GROUP BY ROLLUP (object_type)")(lambda g: gates.refresh_stats(g.fresh))
+query("c13_rollover", "SELECT object_type, object_id, checksum_current AS checksum_previous, 0 AS has_changed FROM v_fresh")(lambda g: gates.rollover(g.fresh).select("object_type", "object_id", "checksum_previous", "has_changed"))
+query("c14_propagate", "SELECT object_type, object_id, CASE WHEN s.k IS NULL THEN 0 ELSE 1 END AS to_process FROM (SELECT DISTINCT object_type, object_id FROM v_nodes) LEFT JOIN (SELECT object_type, object_id, k FROM v_state WHERE to_process = 1) s USING (object_type, object_id)")(lambda g: gates.propagate_nodes(g.nodes, g.state).select("object_type", "object_id", "to_process"))
+query("c15_propagate_scores", "SELECT a_id, b_id, CASE WHEN p.object_id IS NOT NULL OR q.object_id IS NOT NULL THEN 1 ELSE 0 END AS to_process FROM v_x4 LEFT JOIN (SELECT object_id FROM v_state WHERE to_process = 1 AND object_type = 'Person') p ON p.object_id = a_id LEFT JOIN (SELECT object_id FROM v_state WHERE to_process = 1 AND object_type = 'Person') q ON q.object_id = b_id")(lambda g: gates.propagate_scores(g.x4, g.state).select(F.col("from_object_id").alias("a_id"), F.col("to_object_id").alias("b_id"), "to_process"))
+query("c16_settle", "SELECT object_type, object_id, CASE WHEN to_process = 1 THEN DATE '2001-08-02' ELSE last_date_cached END AS last_date_cached, CASE WHEN to_process = 1 THEN 0 ELSE has_expired END AS has_expired, 0 AS to_process FROM v_fresh")(lambda g: gates.settle(g.fresh, g.fresh.where("to_process = 1"), AS_OF).select("object_type", "object_id", "last_date_cached", "has_expired", "to_process"))
+query("c17_status", "SELECT object_type, has_expired, to_process, count(*) AS n FROM v_fresh GROUP BY ALL")(lambda g: gates.status(g.fresh))
+query("c19_by_age", "SELECT object_type, object_id FROM v_state WHERE last_date_cached IS NULL OR last_date_cached < DATE '2001-08-02' - INTERVAL 365 DAY")(lambda g: gates.aged(g.state, AS_OF, 365).select("object_type", "object_id"))
+
+# ---- derived fields
+query("d1_node_degree", "SELECT from_id AS object_id, CAST(count(to_id) AS VARCHAR) AS field_value FROM v_sym GROUP BY ALL")(lambda g: fields.node_degree(g.concept_symmetric).select("object_id", "field_value"))
+query("d2_is_at_institution", "SELECT person_id AS object_id, CAST(v AS VARCHAR) AS field_value FROM v_atinst")(lambda g: fields.is_at_institution(g.affiliations, g.edge_fields, AS_OF).select("object_id", "field_value"))
+query("d3_is_active_unit", "SELECT unit_id AS object_id, CAST(active AS VARCHAR) AS field_value FROM v_active")(lambda g: g.d3.select("object_id", "field_value"))
+query("d4_is_research_unit", "SELECT unit_id AS object_id, CAST(research AS VARCHAR) AS field_value FROM v_active")(lambda g: g.d4.select("object_id", "field_value"))
+query("d5_subtype_rank", "SELECT unit_id AS object_id, CASE subtype WHEN 'Laboratory' THEN '1' WHEN 'Group' THEN '2' WHEN 'Center' THEN '3' ELSE '4' END AS field_value FROM v_subtype WHERE subtype <> 'Service'")(lambda g: fields.subtype_rank(g.node_fields, g.mappings).select("object_id", "field_value"))
+query("d6_latest_teaching_year", "SELECT course_id, person_id, max(y) AS field_value FROM v_years GROUP BY ALL")(lambda g: fields.latest_teaching_year(g.teaching_years).select(F.col("from_object_id").alias("course_id"), F.col("to_object_id").alias("person_id"), "field_value"))
+query("d7_is_active_affiliation", "SELECT link_id AS person_id, doc_id AS unit_id, CAST(is_active_affiliation AS VARCHAR) AS field_value FROM v_org")(lambda g: fields.is_active_affiliation(g.affiliations, g.edge_fields, AS_OF).select(F.col("from_object_id").alias("person_id"), F.col("to_object_id").alias("unit_id"), "field_value"))
+query("d8_last_position_name", _SQL["w4_latest_row"], False)(lambda g: fields.last_position_name(g.histories, g.nodes.where("object_type = 'Person'")).select("from_id", "to_id", "field_value"))
+query("d9_longest_position_name", _SQL["w5_longest_row"], False)(lambda g: fields.longest_position_name(g.histories, g.nodes.where("object_type = 'Person'"), AS_OF).select("from_id", "to_id", "field_value"))
+
+# ---- views and traversals
+query("v1_symmetric_fields", "SELECT person_id AS a, unit_id AS b, field_name, field_value FROM v_efields UNION ALL SELECT unit_id, person_id, field_name, field_value FROM v_efields UNION ALL SELECT link_id, doc_id, 'is_active_affiliation', CAST(is_active_affiliation AS VARCHAR) FROM v_org UNION ALL SELECT doc_id, link_id, 'is_active_affiliation', CAST(is_active_affiliation AS VARCHAR) FROM v_org")(lambda g: views.symmetric_fields([g.edge_fields], fields.is_active_affiliation(g.affiliations, g.edge_fields, AS_OF)).select(F.col("from_object_id").alias("a"), F.col("to_object_id").alias("b"), "field_name", "field_value"))
+query("v2_page_profile", "SELECT object_type, object_id, 1 AS to_process FROM v_nodes WHERE object_type IN ('Person', 'Publication', 'Course') OR (object_type = 'Unit' AND object_id NOT LIKE 'R%')")(lambda g: views.page_profiles([g.profiles]).select("object_type", "object_id", "to_process"))
+query("v3_all_fields", "SELECT object_type, object_id, field_name, field_value FROM v_nfields UNION ALL SELECT 'Unit', unit_id, 'is_active_unit', CAST(active AS VARCHAR) FROM v_active UNION ALL SELECT 'Unit', unit_id, 'is_research_unit', CAST(research AS VARCHAR) FROM v_active")(lambda g: views.all_fields([g.node_fields], union([g.d3, g.d4])).select("object_type", "object_id", "field_name", "field_value"))
+query("v4_parent_child", "SELECT from_object_type, from_object_id, to_object_type, to_object_id, context, 'Child-to-Parent' AS edge_type FROM v_edges UNION ALL SELECT to_object_type, to_object_id, from_object_type, from_object_id, context || ' (mirror)', 'Parent-to-Child' FROM v_edges")(lambda g: views.parent_child_symmetric([g.edges]).select("from_object_type", "from_object_id", "to_object_type", "to_object_id", "context", "edge_type"))
+query("v6_ontology_edges", "SELECT 'Concept' AS from_object_type, concept_id AS from_object_id, 'Category' AS to_object_type, category_id AS to_object_id FROM v_cc UNION ALL SELECT DISTINCT 'Category', p_type, 'Category', 'ALL' FROM part")(lambda g: views.ontology_edges(g.category_tree, g.category_cluster, g.cluster_concept))
+query("g1_unit_person", "SELECT * FROM v_g1")(lambda g: g.g1)
+query("g2_person_publication", "SELECT * FROM v_author")(lambda g: g.g2)
+query("g3_publication_concept", "SELECT publication_id, concept_id, round(score, 6) AS score FROM v_g3")(lambda g: g.g3.withColumn("score", r6("score")))
+query("g4_person_publication_concept", "SELECT person_id, publication_id, concept_id, round(score, 6) AS score FROM v_g4")(lambda g: g.g4.withColumn("score", r6("score")))
+query("g5_unit_publication_concept", "SELECT unit_id, publication_id, concept_id, round(score, 6) AS score FROM v_g5")(lambda g: g.g5.withColumn("score", r6("score")))
+query("g6_mooc_concept", "SELECT mooc_id, person_id, publication_id, concept_id, round(score, 6) AS score FROM v_teach JOIN v_g4 USING (person_id)")(lambda g: traverse.mooc_person_publication_concept(g.teacher_edges, g.g4).withColumn("score", r6("score")))
+query("g7_lecture_timestamps", "SELECT lecture_id, slide_id, concept_id, length(slide_id) % 7 AS timestamp, round(max(score), 6) AS score FROM v_slide GROUP BY ALL")(lambda g: traverse.lecture_timestamps(g.slide_ends, g.slide_detections, g.slide_ends.withColumn("timestamp", (F.length("slide_id") % 7).cast("bigint"))).withColumn("score", r6("score")))
+query("g8_ontology_subset", "SELECT DISTINCT category_id AS id FROM v_cc WHERE category_id IN ('PROMO', 'SMALL') UNION SELECT 'ALL'")(lambda g: traverse.ontology_subset(g.parts.where("p_type IN ('PROMO', 'SMALL')").select(F.col("concept_id").alias("id")).distinct(), g.category_tree, g.category_cluster, g.cluster_concept, "ALL"))
+
+# ---- scores
+query("k1_course_slides", "SELECT course_id AS object_id, concept_id, round(score, 6) AS score FROM v_k1")(lambda g: g.k1.select("object_id", "concept_id", r6("score")))
+query("k2_mooc_slides", f"SELECT course_id AS object_id, concept_id, round({sigma('score', f'(SELECT coalesce(avg(score), 1) FROM v_k1raw WHERE {least("score", 1)})')}, 6) AS score FROM v_k1raw WHERE {least('score', 1)}")(lambda g: scoring.bounded(scoring.slide_sums(g.lecture_edges.select(F.col("to_object_id").alias("id"), F.col("from_object_id").alias("lecture_id")), g.slide_ends, g.slide_detections, "MOOC").where(fn.at_least("score", 1))).select("object_id", "concept_id", r6("score")))
+query("k3_lecture_slides", f"SELECT lecture_id AS object_id, concept_id, round({sigma('s', 'm')}, 6) AS score FROM (SELECT lecture_id, concept_id, sum(score) AS s, avg(sum(score)) OVER () AS m FROM v_slide GROUP BY ALL HAVING {least('sum(score)', 0.1)})")(lambda g: scoring.bounded(scoring.lecture_sums(g.slide_ends, g.slide_detections).where(fn.at_least("score", 0.1))).select("object_id", "concept_id", r6("score")))
+query("k4_mooc_people", f"SELECT mooc_id AS object_id, concept_id, round({sigma('s', 'm')}, 6) AS score FROM (SELECT mooc_id, concept_id, sum(score) AS s, avg(sum(score)) OVER () AS m FROM v_teach JOIN v_g4 USING (person_id) GROUP BY ALL HAVING {least('sum(score)', 1)})")(lambda g: scoring.bounded(scoring.concept_sums(traverse.mooc_person_publication_concept(g.teacher_edges, g.g4), "mooc_id", "MOOC", 1)).select("object_id", "concept_id", r6("score")))
+query("k5_person_abstracts", "SELECT person_id AS object_id, concept_id, round(score, 6) AS score FROM v_k5")(lambda g: g.k5.select("object_id", "concept_id", r6("score")))
+query("k6_unit_abstracts", "SELECT unit_id AS object_id, concept_id, round(score, 6) AS score FROM v_k6")(lambda g: g.k6.select("object_id", "concept_id", r6("score")))
+query("k7_category_concepts", "SELECT category_id AS object_id, concept_id, round(score, 6) AS score FROM v_k7")(lambda g: g.k7.select("object_id", "concept_id", r6("score")))
+query("k8_union_scores", "SELECT object_type, object_id, concept_id, calculation_type, round(score, 6) AS score FROM v_k8")(lambda g: g.k8.select("object_type", "object_id", "concept_id", "calculation_type", r6("score")))
+query("k9_scoring_matrix", "SELECT object_type, object_id, concept_id, round(score_1, 6) AS score_1, round(score_2, 6) AS score_2, round(score_3, 6) AS score_3 FROM v_k9")(lambda g: g.k9.select("object_type", "object_id", "concept_id", r6("score_1"), r6("score_2"), r6("score_3")))
+query("k10_final_scores", "SELECT object_type, object_id, concept_id, round(score, 6) AS score FROM v_k10")(lambda g: g.k10.select("object_type", "object_id", "concept_id", r6("score")))
+query("k11_category_raw", "SELECT object_type, object_id, category_id, round(score, 6) AS score FROM v_k11")(lambda g: g.k11.select("object_type", "object_id", "category_id", r6("score")))
+query("k12_category_means", "SELECT object_type, round(avg_score, 6) AS avg_score FROM v_k12")(lambda g: g.k12.select("object_type", r6("avg_score")))
+query("k13_category_final", "SELECT object_type, object_id, category_id, round(score, 6) AS score FROM v_k13")(lambda g: g.k13.select("object_type", "object_id", "category_id", r6("score")))
+query("n1_degrees", "SELECT from_object_type, from_object_id, to_object_type, degree, round(ln(1 + degree), 6) AS log_degree FROM v_n1")(lambda g: g.n1.select("from_object_type", "from_object_id", "to_object_type", "degree", r6("log_degree")))
+query("n1_slide_degrees", "SELECT lecture_id, count(DISTINCT slide_id) AS degree FROM v_slide GROUP BY ALL")(lambda g: degree.slide_degrees(g.slide_edges).select(F.col("from_object_id").alias("lecture_id"), "degree"))
+query("n3_max_degrees", "SELECT from_object_type, to_object_type, round(max(log_degree), 6) AS max_log_degree FROM v_n4 GROUP BY ALL")(lambda g: degree.max_log_degrees(g.n1).select("from_object_type", "to_object_type", r6("max_log_degree")))
+query("n4_normalised", "SELECT from_object_type, from_object_id, to_object_type, round(norm_log_degree, 6) AS norm_log_degree FROM v_n4")(lambda g: g.n4.select("from_object_type", "from_object_id", "to_object_type", r6("norm_log_degree")))
+query("n5_degree_scores", "SELECT object_type, object_id, round(avg_degree, 6) AS avg_degree, round(avg_log_degree, 6) AS avg_log_degree, round(avg_norm_log_degree, 6) AS avg_norm_log_degree FROM v_n5")(lambda g: g.n5.select("object_type", "object_id", r6("avg_degree"), r6("avg_log_degree"), r6("avg_norm_log_degree")))
+query("x1_similarity", "SELECT a_id, b_id, round(score, 6) AS score, n FROM v_x1")(lambda g: g.x1.select(F.col("from_object_id").alias("a_id"), F.col("to_object_id").alias("b_id"), r6("score"), F.col("n_concepts").alias("n")))
+query("x1_cross_type", f"SELECT p.object_id AS a_id, u.object_id AS b_id, round(sum(p.score * u.score), 6) AS score FROM v_k10 p JOIN v_k10 u ON p.concept_id = u.concept_id AND p.object_type = 'Person' AND u.object_type = 'Unit' WHERE {least('p.score', 0.1)} AND {least('u.score', 0.1)} GROUP BY ALL HAVING count(*) >= 4 AND {least('sum(p.score * u.score)', 0.1)}")(lambda g: similarity.similarity(g.k10_of("Person", "Unit"), [("Person", "Unit"), ("Startup", "Unit")]).where("from_object_type = 'Person' AND to_object_type = 'Unit'").select(F.col("from_object_id").alias("a_id"), F.col("to_object_id").alias("b_id"), r6("score")))
+query("x1_gated", "SELECT a_id, b_id, round(score, 6) AS score FROM v_x1 WHERE a_id IN (SELECT object_id FROM v_expired WHERE has_expired = 1 AND object_type = 'Person') OR b_id IN (SELECT object_id FROM v_expired WHERE has_expired = 1 AND object_type = 'Person')")(lambda g: similarity.similarity(g.k10_of("Person"), [("Person", "Person")], g.expired.where("has_expired = 1")).select(F.col("from_object_id").alias("a_id"), F.col("to_object_id").alias("b_id"), r6("score")))
+query("x2_estimate", f"SELECT 'Person' AS from_object_type, 'Person' AS to_object_type, sum(n * (n - 1) / 2)::BIGINT AS candidates FROM (SELECT concept_id, count(*) AS n FROM v_k10 WHERE object_type = 'Person' AND {least('score', 0.1)} GROUP BY ALL)")(lambda g: similarity.candidate_estimate(g.k10_of("Person"), [("Person", "Person")]))
+query("x3_pair_means", "SELECT 'Person' AS from_object_type, 'Person' AS to_object_type, round(avg(score), 6) AS avg_score, count(*) AS n_rows FROM v_x1")(lambda g: similarity.pair_means(g.x1).select("from_object_type", "to_object_type", r6("avg_score"), "n_rows"))
+query("x4_adjusted", "SELECT a_id, b_id, round(score, 6) AS score FROM v_x4")(lambda g: g.x4.select(F.col("from_object_id").alias("a_id"), F.col("to_object_id").alias("b_id"), r6("score")))
+query("x5_to_ontology", f"SELECT object_type, object_id, 'Category' AS to_object_type, category_id AS to_object_id, round(score, 6) AS score FROM v_k13 WHERE {least('score', 0.1)}")(lambda g: similarity.to_ontology(g.k13, "category_id", "Category").select(F.col("from_object_type").alias("object_type"), F.col("from_object_id").alias("object_id"), "to_object_type", "to_object_id", r6("score")))
+query("x6_concept_pairs", f"SELECT from_id, to_id, round(normalised_score, 6) AS score FROM v_undir WHERE {least('normalised_score', 0.1)}")(lambda g: similarity.concept_pairs(g.concept_undirected).select(F.col("from_object_id").alias("from_id"), F.col("to_object_id").alias("to_id"), r6("score")))
+query("x7_score_all", f"SELECT 'Person' AS from_object_type, a_id AS from_object_id, 'Person' AS to_object_type, b_id AS to_object_id, round(score, 6) AS score FROM v_x4 UNION ALL SELECT object_type, object_id, 'Concept', concept_id, round(score, 6) FROM v_k10 WHERE {least('score', 0.1)} UNION ALL SELECT object_type, object_id, 'Category', category_id, round(score, 6) FROM v_k13 WHERE {least('score', 0.1)} UNION ALL SELECT 'Concept', from_id, 'Concept', to_id, round(normalised_score, 6) FROM v_undir WHERE {least('normalised_score', 0.1)}")(lambda g: similarity.score_all(g.k10_kept, g.k13_kept, g.concept_undirected, [("Person", "Person")]).select("from_object_type", "from_object_id", "to_object_type", "to_object_id", r6("score")))
+
+# ---- index
+query("i1_doc_fields", "SELECT doc_id, is_at_institution, round(degree_score, 6) AS degree_score FROM v_pdoc")(lambda g: g.person_docs.select("doc_id", "is_at_institution", r6("degree_score")))
+query("i2_link_fields", "SELECT link_id AS person_id, doc_id AS unit_id, is_active_affiliation FROM v_org")(lambda g: index.link_fields(views.parent_child_symmetric([g.affiliations]), views.symmetric_fields([], fields.is_active_affiliation(g.affiliations, g.edge_fields, AS_OF)), "Person", "Unit", ["is_active_affiliation"]).select(F.col("from_object_id").alias("person_id"), F.col("to_object_id").alias("unit_id"), "is_active_affiliation"))
+query("i5_doc_patch", "SELECT doc_id, is_at_institution, round(degree_score, 6) AS degree_score FROM v_pdoc")(lambda g: upsert.safe_upsert(g.person_docs.withColumn("degree_score", F.lit(0.0)).where(F.col("doc_id").cast("int") % 2 == 0), g.person_docs, DOC, ["is_at_institution", "degree_score"]).select("doc_id", "is_at_institution", r6("degree_score")))
+query("i6_doc_texts", "SELECT CAST(s_suppkey AS VARCHAR) AS doc_id, 'S-' || CAST(s_suppkey AS VARCHAR) || ': ' || s_name AS name_en, s_name || ' at a glance' AS description_en FROM supplier")(lambda g: index.doc_texts(g.profiles.where("object_type = 'Course'").select(*(F.col(a).alias(b) for a, b in zip(NODE_KEY, DOC, strict=True))), g.profiles, "Course", INDEX).select("doc_id", "name_en", "description_en"))
+query("i7_link_refresh", "SELECT doc_id, link_id, v AS is_at_institution FROM v_org JOIN v_atinst ON person_id = link_id")(lambda g: index.refresh_columns(index.org_edges(views.parent_child_symmetric([g.affiliations]), "Unit", "Person").withColumn("is_at_institution", F.lit(None).cast("int")), g.person_docs.select(*(F.col(a).alias(b) for a, b in zip(DOC, LINK, strict=True)), "is_at_institution"), LINK, ["is_at_institution"]).select("doc_id", "link_id", "is_at_institution"))
+query("i8_edge_refresh", "SELECT doc_id, link_id FROM v_org WHERE is_active_affiliation = 0")(lambda g: index.stale(g.org.select(*DOC, *LINK).withColumn("is_active_affiliation", F.lit(1)), g.org.select(*DOC, *LINK, "is_active_affiliation"), DOC + LINK, ["is_active_affiliation"]).select("doc_id", "link_id"))
+query("i10_org_links", f"SELECT doc_id, link_id, row_rank, round(0.5e0 + 1e0 / (1 + row_rank), 6) AS row_score FROM ({_ORG_SQL})")(lambda g: ranked_org(g).select("doc_id", "link_id", big("row_rank"), r6("row_score")))
+query("i11_sem_links", "SELECT doc_id, link_id, row_rank, round(semantic_score, 6) AS semantic_score FROM v_semrank WHERE row_rank <= 32")(lambda g: ranked_sem(g, index.SEM_LINKS).select("doc_id", "link_id", big("row_rank"), r6("semantic_score")))
+
+
+@query("i13_es_links", "SELECT doc_id, link_id, row_rank FROM v_semrank WHERE row_rank <= 16 AND is_at_institution = 1")
+def _(g):
+    kinds = {"SEM": ranked_sem(g, index.SEM_LINKS)}
+    return index.es_links(index.choose_links(kinds), g.person_docs, g.person_docs, "Person", INDEX).select("doc_id", "link_id", big("row_rank"))
+
+
+@query("i14_mix")
+def _(g):
+    """Mentor links (persons ten ids apart) mixed with semantic links."""
+    return index.mixed(_mentors(g), ranked_sem(g, index.SEM_LINKS)).select("doc_id", "link_id", big("row_rank"), "link_subtype", r6("score"))
+
+
+_MENTORS = "SELECT CAST(c_custkey AS VARCHAR) AS doc_id, CAST(c_custkey % 100 AS VARCHAR) AS link_id, 1 AS row_rank, round(c_acctbal / 10000, 4) AS degree_score FROM customer WHERE c_custkey >= 100"
+_SQL["i14_mix"] = sql(f"""SELECT doc_id, link_id, row_rank, link_subtype, round(score, 6) AS score FROM (
+    SELECT doc_id, link_id, CAST(row_rank AS BIGINT) AS row_rank, 'ORG' AS link_subtype, degree_score AS score FROM ({_MENTORS})
+    UNION ALL SELECT s.doc_id, s.link_id, s.row_rank + coalesce(o.row_rank, 0), 'SEM', semantic_score FROM (SELECT * FROM v_semrank WHERE row_rank <= 32) s LEFT JOIN ({_MENTORS}) o ON o.doc_id = s.doc_id WHERE o.link_id IS NULL OR o.link_id <> s.link_id)""")
+
+
+def _mentors(g):
+    c = g.table("customer").where("c_custkey >= 100")
+    return c.select(F.lit(OBJECTS).alias("doc_institution_id"), F.lit("Person").alias("doc_type"), F.col("c_custkey").cast("string").alias("doc_id"), F.lit(OBJECTS).alias("link_institution_id"), F.lit("Person").alias("link_type"), (F.col("c_custkey") % 100).cast("string").alias("link_id"), F.lit(1).alias("row_rank"), F.round(F.col("c_acctbal") / 10000, 4).alias("degree_score"))
+
+
+def nested_units(g):
+    docs = index.doc_fields(g.profiles, g.calculated, g.n5, "Unit", ["is_active_unit", "is_research_unit"])
+    docs = index.doc_texts(docs, g.profiles, "Unit", INDEX)
+    people = index.doc_texts(g.person_docs, g.profiles, "Person", INDEX)
+    return index.nested_docs(docs, ranked_org(g).where(F.col("row_rank") <= index.ES_LINKS), people.select(*DOC, "name_en", "name_fr"))
+
+
+query("i16_nested_doc", f"SELECT CAST(n_nationkey AS VARCHAR) AS doc_id, 'U-' || CAST(n_nationkey AS VARCHAR) || ': ' || n_name AS name, round(64 * d.degree_score, 6) AS factor, CAST(coalesce(len(l), 0) AS BIGINT) AS n_links, array_to_string(l, ',') AS link_ids FROM nation JOIN v_udoc d ON d.doc_id = CAST(n_nationkey AS VARCHAR) LEFT JOIN (SELECT doc_id, list(link_id ORDER BY row_rank) AS l FROM ({_ORG_SQL}) WHERE row_rank <= 16 GROUP BY ALL) USING (doc_id)")(lambda g: nested_units(g).select("doc_id", F.col("en.name").alias("name"), F.round("degree_score_factor", 6).alias("factor"), F.size("links").cast("bigint").alias("n_links"), F.array_join(F.transform("links", lambda x: x["link_id"]), ",").alias("link_ids")))
+query("i17_loose_ends", "SELECT doc_id, link_id FROM v_org WHERE CAST(link_id AS INT) % 2 = 1")(lambda g: index.loose_ends(g.org.select(*DOC, *LINK), g.person_docs.where(F.col("doc_id").cast("int") % 2 == 0)).select("doc_id", "link_id"))
+
+
+@query("s16_export")
+def _(g):
+    from meshwork.sources.tables import full_index
+
+    return full_index([nested_units(g)])
+
+
+# ---- comparison, functions, search
+def _versions(g):
+    old = g.table("customer").where("c_custkey % 7 <> 1").select("c_custkey", "c_acctbal", "c_mktsegment")
+    new = g.table("customer").where("c_custkey % 7 <> 2").select("c_custkey", (F.col("c_acctbal") + (F.col("c_custkey") % 7 == 3).cast("int")).alias("c_acctbal"), F.when(F.col("c_custkey") % 7 != 4, F.col("c_mktsegment")).alias("c_mktsegment"))
+    return old, new
+
+
+query("q1_table_diff", """WITH o AS (SELECT c_custkey AS k, c_acctbal AS b, c_mktsegment AS m FROM customer WHERE c_custkey % 7 <> 1), n AS (SELECT c_custkey AS k, c_acctbal + CAST(c_custkey % 7 = 3 AS INT) AS b, CASE WHEN c_custkey % 7 <> 4 THEN c_mktsegment END AS m FROM customer WHERE c_custkey % 7 <> 2),
+    j AS (SELECT o.k AS ok, n.k AS nk, o.b IS DISTINCT FROM n.b AS db, o.m IS DISTINCT FROM n.m AS dm, o.m IS NOT NULL AND n.m IS NULL AS nm FROM o FULL JOIN n ON o.k = n.k)
+    SELECT count(*) AS n_rows, count(*) FILTER (ok IS NULL) AS n_new, count(*) FILTER (nk IS NULL) AS n_deleted, count(*) FILTER (ok IS NOT NULL AND nk IS NOT NULL AND NOT db AND NOT dm) AS n_match, count(*) FILTER (ok IS NOT NULL AND nk IS NOT NULL AND (db OR dm)) AS n_mismatch,
+    count(*) FILTER (ok IS NOT NULL AND nk IS NOT NULL AND db) AS c_acctbal_mismatch, count(*) FILTER (ok IS NOT NULL AND nk IS NOT NULL AND dm) AS c_mktsegment_mismatch, count(*) FILTER (ok IS NOT NULL AND nk IS NOT NULL AND nm) AS c_mktsegment_set_to_null FROM j""")(lambda g: quality.table_diff(*_versions(g), ["c_custkey"], ["c_acctbal", "c_mktsegment"]).drop("c_acctbal_set_to_null"))
+query("q2_diff_verdict")(lambda g: quality.verdict(quality.table_diff(*_versions(g), ["c_custkey"], ["c_acctbal", "c_mktsegment"], sample=1024)))
+query("q2_flattened", "SELECT CAST(c_custkey AS VARCHAR) AS doc_id, c_name AS \"en.name\" FROM customer")(lambda g: quality.flattened(g.table("customer").select(F.col("c_custkey").cast("string").alias("doc_id"), F.struct(F.col("c_name").alias("name")).alias("en"))))
+query("q3_fetch_by_keys", "SELECT object_id, field_name FROM v_nfields WHERE object_type = 'Unit' AND object_id IN ('1', '2')")(lambda g: quality.by_keys(g.node_fields, g.nodes.where("object_type = 'Unit' AND object_id IN ('1', '2')"), NODE_KEY).select("object_id", "field_name"))
+query("q4_exists", "SELECT 'Person' AS object_type, CAST(k AS VARCHAR) AS object_id, CASE WHEN k IN (SELECT c_custkey FROM customer) THEN 1 ELSE 0 END AS found FROM range(0, 3000, 100) t(k)")(lambda g: quality.existing(g.spark.range(0, 3000, 100).select(F.lit(OBJECTS).alias("institution_id"), F.lit("Person").alias("object_type"), F.col("id").cast("string").alias("object_id")), g.nodes, NODE_KEY).select("object_type", "object_id", "found"))
+query("q5_row_counts", "SELECT 'customer' AS table_name, count(*) AS n_rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem")(lambda g: quality.row_counts({n: g.table(n) for n in ("customer", "orders", "lineitem")}))
+query("q6_key_unique", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")(lambda g: quality.duplicate_keys(g.table("lineitem"), ["l_orderkey", "l_linenumber"]))
+query("f4_least_greatest", "SELECT p_partkey, least(p_brand, p_type) AS low, greatest(p_brand, p_type) AS high FROM part")(lambda g: g.table("part").select("p_partkey", F.least("p_brand", "p_type").alias("low"), F.greatest("p_brand", "p_type").alias("high")))
+query("f5_sigma", f"SELECT p_partkey, round({sigma('p_retailprice', '1000e0')}, 9) AS bounded, round(ln(1 + p_size), 9) AS log_size FROM part")(lambda g: g.table("part").select("p_partkey", F.round(fn.sigma("p_retailprice", F.lit(1000.0)), 9).alias("bounded"), F.round(F.log1p("p_size"), 9).alias("log_size")))
+query("f7_concat_null", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name END || '!' AS label FROM nation")(lambda g: g.table("nation").select("n_nationkey", F.concat(F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")), F.lit("!")).alias("label")))
+query("f8_try_cast", "SELECT person_id, TRY_CAST(field_value AS DATE) AS ended FROM v_end")(lambda g: g.edge_fields.where("field_name = 'end_datetime'").select(F.col("from_object_id").alias("person_id"), fn.as_date("field_value").alias("ended")))
+query("f10_dates", "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) - INTERVAL 30 DAY AS DATE) AS before, DATE '2001-08-02' - CAST(o_orderdate AS DATE) AS days FROM orders")(lambda g: g.table("orders").select("o_orderkey", F.date_sub(F.col("o_orderdate").cast("date"), 30).alias("before"), F.datediff(F.lit(AS_OF).cast("date"), F.col("o_orderdate").cast("date")).cast("bigint").alias("days")))
+query("f12_checksum", """SELECT n_nationkey, md5('{"n_name":"' || n_name || '","n_regionkey":' || CAST(n_regionkey AS VARCHAR) || '}') AS checksum FROM nation""")(lambda g: g.table("nation").select("n_nationkey", fn.checksum(["n_regionkey", "n_name"]).alias("checksum")))
+query("f12_node_checksums")(lambda g: entities.node_checksums(g.nodes.where("object_type IN ('Person', 'Unit')"), g.node_fields).select("object_type", "object_id", "checksum"))
+query("f15_levenshtein", "SELECT a.p_name AS a, b.p_name AS b, round(CASE WHEN greatest(length(a.p_name), length(b.p_name)) = 0 THEN 1e0 ELSE 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name)) END, 9) AS similarity FROM (SELECT DISTINCT p_name FROM part) a JOIN (SELECT DISTINCT p_name FROM part) b ON left(a.p_name, 1) = left(b.p_name, 1) AND a.p_name < b.p_name")(lambda g: _names(g))
+query("f17_split_join", "SELECT n_nationkey, split_part(n_name, '_', 2) || '/' || split_part(n_name, '_', 1) AS turned FROM nation")(lambda g: g.table("nation").select("n_nationkey", F.concat_ws("/", F.split_part("n_name", F.lit("_"), F.lit(2)), F.split_part("n_name", F.lit("_"), F.lit(1))).alias("turned")))
+query("r2_shingles", "SELECT p_partkey, CASE WHEN len(w) >= 2 THEN array_to_string([w[i] || ' ' || w[i + 1] for i in range(1, len(w))], ',') ELSE '' END AS shingles FROM (SELECT p_partkey, string_split(lower(p_name), ' ') AS w FROM part)")(lambda g: search.analysed(g.table("part").select("p_partkey", "p_name"), "p_name").select("p_partkey", F.array_join("shingles_2", ",").alias("shingles")))
+query("r1_search", "SELECT CAST(p_partkey AS VARCHAR) AS doc_id, round((1 + CAST(list_contains(w, 'red') AS INT) * 0.5e0 + CAST(list_contains(w, 'widget') AS INT) * 0.5e0 + CASE WHEN contains(array_to_string(w, ' '), 'red widget') THEN 1e0 ELSE 0e0 END) * p_size, 6) AS score FROM (SELECT *, string_split(lower(p_name), ' ') AS w FROM part) WHERE len([x for x in w if x LIKE 'red%' OR levenshtein(x, 'red') <= 1]) > 0 AND len([x for x in w if x LIKE 'widget%' OR levenshtein(x, 'widget') <= 2]) > 0 ORDER BY score DESC, doc_id LIMIT 10")(lambda g: search.search(g.table("part").select(F.col("p_partkey").cast("string").alias("doc_id"), "p_name", F.col("p_size").cast("double").alias("degree_score_factor")), "Red widget", text_cols=("p_name",)).select("doc_id", r6("score")))
+query("r3_fetch", "SELECT CAST(c_custkey AS VARCHAR) AS doc_id, c_name FROM customer WHERE c_custkey IN (1, 5, 9)")(lambda g: search.fetch(g.table("customer").select(F.col("c_custkey").cast("string").alias("doc_id"), "c_name"), ["1", "5", "9"]))
+
+
+def _names(g):
+    a = g.table("part").select(F.col("p_name").alias("a")).distinct().withColumn("c", F.left("a", F.lit(1)))
+    return a.join(a.withColumnRenamed("a", "b"), "c").where("a < b").select("a", "b", F.round(fn.levenshtein_similarity("a", "b"), 9).alias("similarity"))
+
+
+# ---- flagship
+_FLAGSHIP = "SELECT doc_id, link_id, row_rank, round(semantic_score, 6) AS semantic_score FROM (SELECT doc_id, link_id, semantic_score, row_number() OVER (PARTITION BY doc_id ORDER BY round(semantic_score, 9) DESC, link_id) AS row_rank FROM v_sem) WHERE row_rank <= 10"
+
+
+@query("flagship_similar_persons", _FLAGSHIP)
+def _flagship(g):
+    links = index.sem_edges(g.x4, "Person", "Person").withColumn("_s", F.round("semantic_score", 9))
+    return index.rank_links(links, [], "_s", 10).select("doc_id", "link_id", big("row_rank"), r6("semantic_score"))
+
+
+@query("full_scores_config")
+def _(g):
+    """All configured pairs of types that the data has, in one plan."""
+    return similarity.similarity(g.k10_of("Person", "Unit"), SCORES.pairs()).groupBy("from_object_type", "to_object_type").agg(F.count("*").alias("n"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return _QUERIES["flagship_similar_persons"](spark, sf_dir)
