@@ -21,6 +21,11 @@ def edits(word: Column) -> Column:
     return F.when(F.length(word) <= 2, 0).when(F.length(word) <= 5, 1).otherwise(2)
 
 
+def matches(q: str):
+    """Whether a document's word answers the query's word."""
+    return lambda w: w.startswith(q) | (F.levenshtein(w, F.lit(q)) <= edits(F.lit(q)))
+
+
 def light_stem(word: Column) -> Column:
     """Plural and -ing endings off words that stay at least three letters long."""
     out = word
@@ -45,7 +50,7 @@ def search(docs: DataFrame, query: str, id_col: str = "doc_id", text_cols: tuple
     best = None
     for text in text_cols:
         words = tokens(text)
-        hits = [F.exists(words, lambda w, q=q: w.startswith(q) | (F.levenshtein(w, F.lit(q)) <= edits(F.lit(q)))) for q in wanted]
+        hits = [F.exists(words, matches(q)) for q in wanted]
         exact = [F.array_contains(words, q) for q in wanted]
         every = F.lit(bool(wanted))
         for h in hits:

@@ -35,7 +35,7 @@ def similarity(final: DataFrame, pairs: list[tuple[str, str]], gate: DataFrame |
     side = lambda s: rows.select(*(F.col(c).alias(f"{s}_{c}") for c in NODE_KEY), "concept_id", F.col("score").alias(f"{s}_score"), F.col("_g").alias(f"{s}_g"))
     ordered = (F.col("from_object_type") < F.col("to_object_type")) | ((F.col("from_object_type") == F.col("to_object_type")) & (F.col("from_object_id") < F.col("to_object_id")))
     joined = side("from").join(side("to"), "concept_id").where(ordered & (F.col("from_g") | F.col("to_g")))
-    if len(pairs) > 1:
+    if len(kinds) > 1:
         joined = joined.join(F.broadcast(allowed), TYPE_PAIR, "left_semi")
     got = joined.groupBy(*EDGE_KEY).agg(F.sum(F.col("from_score") * F.col("to_score")).alias("score"), F.count("*").alias("n_concepts"))
     return got.where((F.col("n_concepts") >= min_shared) & at_least("score", min_sum))
