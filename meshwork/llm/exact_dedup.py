@@ -1,9 +1,10 @@
 """Exact de-duplication by content sort.
 
-Sampled splitters range-partition the normalised texts (with the id as second
-key, so a large group of equal texts spreads over many partitions), Spark's
-external sort puts equal texts next to each other, and one pass compares each
-text in full with its neighbour. Runs that touch a partition's edge are stitched
+Sampled splitters range-partition the normalised texts, Spark's external sort puts
+equal texts next to each other, and one pass compares each text in full with its
+neighbour. The splitters are short whatever the texts' lengths: the first bytes,
+then the digest, and last the id, which spreads a large group of equal texts over
+many partitions. Runs that touch a partition's edge are stitched
 by comparing the edge texts of neighbouring partitions; this takes two rows a
 partition, whatever the number of documents.
 
@@ -15,8 +16,6 @@ null ids keeps null); extra columns are ignored; an empty table gives none.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +24,9 @@ from meshwork.llm.common import cut, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Bytes of a text that its splitter begins with.
+HEAD_BYTES = 16
+
 
 def normalised(text_col: str) -> F.Column:
     """The text with A-Z lower-cased, null as empty."""
@@ -41,7 +43,8 @@ def sorted_runs(docs: DataFrame, id_col: str, text_col: str, partitions: int) ->
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), normalised(text_col).cast("binary").alias("body"))
-    dealt = rows.repartitionByRange(partitions, "body", "id").sortWithinPartitions("body", "id")
+    rows = rows.select("id", "body", F.sha2("body", 256).alias("sha"), F.substring("body", 1, HEAD_BYTES).alias("head"))
+    dealt = rows.repartitionByRange(partitions, "head", "sha", "id").sortWithinPartitions("head", "sha", "body", "id").select("id", "body", "sha")
     names = ["id", "sha", "part", "run", "n", "low", "high", "edge", "content"]
 
     def run(batches):
@@ -49,10 +52,12 @@ def sorted_runs(docs: DataFrame, id_col: str, text_col: str, partitions: int) ->
         text, ids, number = None, [], 0
         held = []  # finished runs not yet sent: a batch's worth
 
+        digest = None
+
         def close(last):
             known = [x for x in ids if x is not None]
             edge = (number == 0) + 2 * last
-            held.append((ids, hashlib.sha256(text).hexdigest(), number, min(known, default=None), max(known, default=None), edge, text if edge else None))
+            held.append((ids, digest, number, min(known, default=None), max(known, default=None), edge, text if edge else None))
 
         def send():
             sizes = np.array([len(x[0]) for x in held])
@@ -68,7 +73,7 @@ def sorted_runs(docs: DataFrame, id_col: str, text_col: str, partitions: int) ->
         typed = []
         for batch in batches:
             typed = [batch.column(0).type]
-            for i, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for i, body, sha in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 body = body.as_py()
                 if body == text:
                     ids.append(i)
@@ -76,7 +81,7 @@ def sorted_runs(docs: DataFrame, id_col: str, text_col: str, partitions: int) ->
                 if text is not None:
                     close(False)
                     number += 1
-                text, ids = body, [i]
+                text, ids, digest = body, [i], sha
             if len(held) > 2000:
                 yield send()
         if text is not None:
