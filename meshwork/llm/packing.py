@@ -74,6 +74,16 @@ class WordTokenizer:
             return self.raw(head) + b"".join([known[w] for w in words])
 
 
+#: Tokenizers of this process by file; a worker keeps its words between tasks.
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def tokenizer_of(ranks: str, pattern: str) -> WordTokenizer:
+    if ranks not in _TOKENIZERS:
+        _TOKENIZERS[ranks] = WordTokenizer(ranks, pattern)
+    return _TOKENIZERS[ranks]
+
+
 def tokenizer_file(json_path: str) -> tuple[str, str]:
     """(ranks file, pattern) beside a byte-level BPE file of the public tokenizers."""
     import public_tokenizers
@@ -95,7 +105,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     names = [id_col, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
-        encode = WordTokenizer(ranks, pattern)
+        encode = tokenizer_of(ranks, pattern)
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             kind = batch.column(0).type
