@@ -19,6 +19,7 @@ no pieces; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from meshwork.llm.common import table
 MAX_TOKENS = 1024
 END_ID = 0
 #: Words a worker remembers the ids of, at most.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 
 def binary_lengths(tokens: int, max_tokens: int = MAX_TOKENS) -> list[int]:
@@ -37,12 +38,16 @@ def binary_lengths(tokens: int, max_tokens: int = MAX_TOKENS) -> list[int]:
     return [max_tokens] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
+_AMID = re.compile(r"\s \s")
+
+
 class WordTokenizer:
     """Byte-level BPE ids of a text as little-endian 32-bit bytes.
 
-    A blank that stands between two other characters always begins a new word of
-    the tokenizer's pattern, so the parts between such blanks are tokenized, and
-    remembered, on their own. Texts with other runs of blanks take the plain way.
+    A blank with no white space beside it on one side or the other always ends or
+    begins a word of the tokenizer's pattern, so the parts between such blanks are
+    tokenized, and remembered, on their own. Texts that begin or end with a blank,
+    or hold one amid other white space, take the plain way.
     """
 
     def __init__(self, ranks_path: str, pattern: str):
@@ -59,7 +64,7 @@ class WordTokenizer:
         return np.array(self.plain.encode_ordinary(text), dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if "  " in text or text[:1] == " " or text[-1:] == " " or not text:
+        if not text or text[0] == " " or text[-1] == " " or "  " in text or _AMID.search(text):
             return self.raw(text)
         head, *words = text.split(" ")
         known = self.known
