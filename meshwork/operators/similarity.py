@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meshwork.functions.scalars import at_least, sigma
 from meshwork.schema import EDGE_KEY, FROM_KEY, NODE_KEY, ONTOLOGY, TO_KEY, TYPE_PAIR
+from meshwork.sources.shared import kept
 
 MIN_SCORE, MIN_SHARED, MIN_SUM, THRESHOLD = 0.1, 4, 0.1, 0.1
 
@@ -23,22 +24,32 @@ def similarity(final: DataFrame, pairs: list[tuple[str, str]], gate: DataFrame |
 
     Of two types the pair is ordered by type, of one type by id. gate: node keys of
     which one end must be. All type pairs are done in one plan.
+
+    Pairs are summed on two numbers that stand for the objects in the order of
+    (type, id), so the one large shuffle moves numbers; keys come back for the pairs
+    that are left.
     """
-    spark = final.sparkSession
-    allowed = spark.createDataFrame(sorted({tuple(sorted(p)) for p in pairs}), "from_object_type string, to_object_type string")
+    allowed = sorted({tuple(sorted(p)) for p in pairs})
     kinds = sorted({t for p in pairs for t in p})
-    rows = final.where(F.col("object_type").isin(*kinds) & at_least("score", min_score))
+    code = F.lit(None).cast("int")
+    for i, kind in enumerate(kinds):
+        code = F.when(F.col("object_type") == kind, F.lit(i)).otherwise(code)
+    rows = final.where(F.col("object_type").isin(*kinds) & at_least("score", min_score)).select(*NODE_KEY, "concept_id", "score")
+    objects = rows.select(NODE_KEY).distinct()
     if gate is not None:
-        rows = rows.join(gate.select(NODE_KEY).distinct().withColumn("_g", F.lit(True)), NODE_KEY, "left").withColumn("_g", F.coalesce("_g", F.lit(False)))
+        objects = objects.join(gate.select(NODE_KEY).distinct().withColumn("_g", F.lit(True)), NODE_KEY, "left").withColumn("_g", F.coalesce("_g", F.lit(False)))
     else:
-        rows = rows.withColumn("_g", F.lit(True))
-    side = lambda s: rows.select(*(F.col(c).alias(f"{s}_{c}") for c in NODE_KEY), "concept_id", F.col("score").alias(f"{s}_score"), F.col("_g").alias(f"{s}_g"))
-    ordered = (F.col("from_object_type") < F.col("to_object_type")) | ((F.col("from_object_type") == F.col("to_object_type")) & (F.col("from_object_id") < F.col("to_object_id")))
-    joined = side("from").join(side("to"), "concept_id").where(ordered & (F.col("from_g") | F.col("to_g")))
+        objects = objects.withColumn("_g", F.lit(True))
+    objects = kept(objects.orderBy("object_type", "object_id", "institution_id").select(*NODE_KEY, "_g", code.alias("_t"), F.monotonically_increasing_id().alias("_i")))
+    numbered = rows.join(objects, NODE_KEY).select("concept_id", "score", "_g", "_t", "_i")
+    side = lambda s: numbered.select("concept_id", *(F.col(c).alias(f"{s}{c}") for c in ("score", "_g", "_t", "_i")))
+    joined = side("a").join(side("b"), "concept_id").where("a_i < b_i AND (a_g OR b_g)")
     if len(kinds) > 1:
-        joined = joined.join(F.broadcast(allowed), TYPE_PAIR, "left_semi")
-    got = joined.groupBy(*EDGE_KEY).agg(F.sum(F.col("from_score") * F.col("to_score")).alias("score"), F.count("*").alias("n_concepts"))
-    return got.where((F.col("n_concepts") >= min_shared) & at_least("score", min_sum))
+        joined = joined.where((F.col("a_t") * len(kinds) + F.col("b_t")).isin(*(kinds.index(x) * len(kinds) + kinds.index(y) for x, y in allowed)))
+    got = joined.groupBy("a_i", "b_i").agg(F.sum(F.col("ascore") * F.col("bscore")).alias("score"), F.count("*").alias("n_concepts"))
+    got = got.where((F.col("n_concepts") >= min_shared) & at_least("score", min_sum))
+    end = lambda s, i: objects.select(F.col("_i").alias(i), *(F.col(c).alias(f"{s}_{c}") for c in NODE_KEY))
+    return got.join(end("from", "a_i"), "a_i").join(end("to", "b_i"), "b_i").select(*EDGE_KEY, "score", "n_concepts")
 
 
 def candidate_estimate(final: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
