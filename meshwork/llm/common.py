@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Bounds of a batch that goes to a Python worker: rows and bytes.
+BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,11 +45,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def workers_import(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the library from where it lies.
+    """Let Python workers on this machine import the library from where it lies, and
+    keep the batches that they get small.
 
     On a cluster the library is installed on the executors or shipped with
-    ``--py-files``; then this changes nothing there.
+    ``--py-files``; then the path changes nothing there. Batches are bounded in bytes,
+    as texts differ in length; a session's own smaller bounds stay.
     """
+    for name, most in BATCH:
+        now = spark.conf.get(name)
+        if not re.fullmatch(r"[1-9]\d*b?", now) or int(now.rstrip("b")) > most:
+            spark.conf.set(name, str(most))
     own = spark.sparkContext.environment
     paths = [x for x in own.get("PYTHONPATH", "").split(os.pathsep) if x]
     if ROOT not in paths:
@@ -74,3 +83,20 @@ def fold(doc_id: str | Column, folds: int = 4) -> Column:
     """crc32 of an id's decimal text modulo ``folds``; -1 for a null id."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % folds, F.lit(-1)).cast("int")
+
+
+def draw(key: str | Column) -> Column:
+    """A number in [0, 1) that depends on a key alone."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(key) if isinstance(key, str) else key), 11) / F.lit(float(2**53))
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, chosen by a hash of their key.
+
+    A share of about rows / count is drawn where the rows lie, so only about ``rows``
+    rows in all reach the final cut, whatever the number of partitions.
+    """
+    n = df.count()
+    if n > rows:
+        df = df.where(draw(key) < rows / n)
+    return df.orderBy(F.xxhash64(key), *df.columns).limit(rows)

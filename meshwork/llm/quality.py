@@ -8,7 +8,7 @@ noise drawn from its id, and the k largest sums of log ratio and noise stay.
 The n-grams are byte trigrams, hashed to 2^``bits`` buckets, and, as a second
 family, whether each word repeats the word before it. The raw model counts every
 document. The target model counts a bounded sample of ``target_rows`` documents
-labelled as good (those with the smallest hashes of their ids). k is the number of
+labelled as good (chosen by the hashes of their ids). k is the number of
 documents whose log ratio reaches the cut; the cut is the ``tail`` quantile of
 the target sample less ``slack``, so what looks like target text is kept and the
 noise decides only between documents near the cut.
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshwork.llm import ngrams
-from meshwork.llm.common import cut, table, utf8, workers_import
+from meshwork.llm.common import bounded_sample, cut, table, utf8, workers_import
 
 BITS = 16
 TARGET_ROWS = 20_000
@@ -93,9 +93,9 @@ def log_probabilities(counted: np.ndarray) -> np.ndarray:
 
 
 def target_ids(labels: DataFrame, id_col: str, label_col: str, rows: int) -> DataFrame:
-    """At most ``rows`` ids with label 1, those with the smallest hashes."""
+    """At most ``rows`` ids with label 1, chosen by their hashes."""
     good = labels.where(F.col(label_col) == 1).where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("target_id"))
-    return good.orderBy(F.xxhash64("target_id"), "target_id").limit(rows).distinct()
+    return bounded_sample(good, "target_id", rows).distinct()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", target_rows: int = TARGET_ROWS, bits: int = BITS, tail: float = TAIL, slack: float = SLACK) -> Model:

@@ -9,7 +9,7 @@ abuse. A logistic model on the weight and density of the abusive matches gives
 the score.
 
 Everything is learnt from bounded samples of labelled rows (``toxic_rows`` and
-``clean_rows``, those with the smallest hashes of their ids) outside the held-out
+``clean_rows``, chosen by the hashes of their ids) outside the held-out
 fold; the lexicon has at most ``terms`` entries.
 
 Defined results: a null or empty text is scored like a text without matches; a
@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwork.llm.common import cut, fold, table, workers_import
+from meshwork.llm.common import bounded_sample, cut, fold, table, workers_import
 
 TOXIC_ROWS = 5_000
 CLEAN_ROWS = 15_000
@@ -287,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     workers_import(spark)
     usable = labels.select(F.col(id_col).alias("row"), F.col(label_col).cast("int").alias("y")).where(F.col("row").isNotNull() & (fold("row") != held_out)).distinct()
-    pick = lambda y, n: usable.where(F.col("y") == y).orderBy(F.xxhash64("row"), "row").limit(n)
+    pick = lambda y, n: bounded_sample(usable.where(F.col("y") == y), "row", n)
     chosen = cut(pick(1, toxic_rows).union(pick(0, clean_rows)))  # at most toxic_rows + clean_rows ids
     sample = cut(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).join(F.broadcast(chosen), F.col("id") == F.col("row")).select("id", "y", "body"))
     sizes = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}

@@ -6,8 +6,8 @@ URLs; where no labels are given, those are the URLs that a rule decides. Feature
 are lengths, depth, digit ratio, entropies, parameter counts and, for the host's
 suffixes, the smoothed share of blocked training URLs.
 
-The training sample is bounded (``rows``: the distinct labelled URLs with the
-smallest hashes). Scoring is one pass without a shuffle.
+The training sample is bounded (``rows``: distinct labelled URLs chosen by their
+hashes). Scoring is one pass without a shuffle.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, fits
 no rule, and is judged by the trees on empty features; repeated rows are judged
@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwork.llm.common import table, workers_import
+from meshwork.llm.common import draw, table, workers_import
 from meshwork.llm.exact_dedup import LOWER, UPPER
 
 ROWS = 20_000
@@ -164,7 +164,11 @@ def fit(pages: DataFrame, url_col: str = "url", labels: DataFrame | None = None,
     else:
         known = located(labels.select(F.col(url_col).alias("url"), F.col("blocked").cast("int").alias("y")), "url", rules).select("url", "host_", "path_", "y")
     # at most ``rows`` URLs
-    sample = known.where("url IS NOT NULL AND y IS NOT NULL").distinct().orderBy(F.xxhash64("url"), "url", "y").limit(rows).collect()
+    known = known.where("url IS NOT NULL AND y IS NOT NULL")
+    n = known.count()
+    if n > rows:  # drawn by URL, so that the copies of a URL stay together, before they are made one
+        known = known.where(draw("url") < rows / n)
+    sample = known.distinct().orderBy(F.xxhash64("url"), "url", "y").limit(rows).collect()
     return train([(r[0], r[1], r[2]) for r in sample], np.array([r[3] for r in sample], float))
 
 
