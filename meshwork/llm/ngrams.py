@@ -12,7 +12,7 @@ _MIX = {1: 0x9E3779B1, 2: 0x85EBCA77, 3: 0xC2B2AE3D, 4: 0x27D4EB2F}
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 2**64)
 #: Bytes handled at once, so that a worker's arrays stay small.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def slices(raws: list[bytes], most: int = SLICE_BYTES) -> Iterator[list[bytes]]:

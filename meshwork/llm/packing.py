@@ -24,12 +24,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwork.llm.common import table
+from meshwork.llm.common import table, workers_import
 
 MAX_TOKENS = 1024
 END_ID = 0
 #: Words a worker remembers the ids of, at most.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 
 
 def binary_lengths(tokens: int, max_tokens: int = MAX_TOKENS) -> list[int]:
@@ -79,16 +79,6 @@ class WordTokenizer:
             return self.raw(head) + b"".join([known[w] for w in words])
 
 
-#: Tokenizers of this process by file; a worker keeps its words between tasks.
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
-def tokenizer_of(ranks: str, pattern: str) -> WordTokenizer:
-    if ranks not in _TOKENIZERS:
-        _TOKENIZERS[ranks] = WordTokenizer(ranks, pattern)
-    return _TOKENIZERS[ranks]
-
-
 def tokenizer_file(json_path: str) -> tuple[str, str]:
     """(ranks file, pattern) beside a byte-level BPE file of the public tokenizers."""
     import public_tokenizers
@@ -105,12 +95,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
 
     if max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
+    workers_import(docs.sparkSession)
     ranks, pattern = tokenizer_file(tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
     end = end_id.to_bytes(4, "little")
     names = [id_col, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
-        encode = tokenizer_of(ranks, pattern)
+        encode = WordTokenizer(ranks, pattern)
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             kind = batch.column(0).type

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from meshwork.llm.common import table, workers_import
 
 MARK = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 

@@ -67,7 +67,7 @@ def test_packing_equals_the_reference_tokenizer(spark):
 
 
 def test_words_are_tokenized_as_in_their_text():
-    encode = packing.tokenizer_of(*packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json")))
+    encode = packing.WordTokenizer(*packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json")))
     rng = random.Random(4)
     for _ in range(4000):
         text = "".join(rng.choices(["a", "it's", "B", " ", " ", "\n", "\t", "é", "1", "22", "!", "..", " ", "日", "'", "<|endoftext|>"], k=rng.randint(0, 14)))
