@@ -242,8 +242,13 @@ def term_counts(texts: list[str]) -> Counter:
 
 
 def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, terms: int) -> list[tuple[str, bool]]:
-    """Words and stems frequent in toxic documents and near absent in clean ones."""
-    least = max(3, 0.002 * n_toxic)
+    """Words and stems frequent in toxic documents and near absent in clean ones.
+
+    So many documents must hold a term that, were labels drawn at random, less than
+    one of all the terms looked at would be found in toxic documents alone.
+    """
+    share = (n_toxic + 1) / (n_toxic + n_clean + 2)
+    least = max(3, 0.002 * n_toxic, np.log(max(len(toxic), 1)) / -np.log(share))
     pure = {p for p, n in toxic.items() if n >= least and clean.get(p, 0) / max(n_clean, 1) <= 0.02 * n / max(n_toxic, 1)}
     chosen: dict[str, tuple[int, bool]] = {}
     by_stem: dict[str, list[str]] = {}
