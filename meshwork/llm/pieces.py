@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from struct import pack
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from meshwork.llm.common import table, workers_import
 
 MARK = "▁"
-REMEMBERED = 200_000
+#: Words of each of two generations that a worker remembers, at most.
+REMEMBERED = 400_000
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -64,7 +66,9 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.apart: dict[tuple[str, str], bool] = {}
+        # words met since the last change, and those before it: frequent words outlast it
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # pieces by their letters from the last to the first; "" holds a whole piece
         self.endings: dict = {}
         for piece in vocabulary.ids:
@@ -99,32 +103,37 @@ class Encoder:
 
     def forward(self, word: str, last: list, value: list, begin: int) -> None:
         """Fills the table for prefixes longer than ``begin``: last[i] is the length
-        of the last piece of word[:i]."""
+        of the last piece of word[:i]; value[i] is the sum of scores up to there for a
+        unigram model, that piece itself for a BPE model."""
         del last[begin + 1 :], value[begin + 1 :]
         endings, scores, unigram, apart = self.endings, self.v.scores, self.v.unigram, self.apart
         for i in range(begin + 1, len(word) + 1):
             node, j, found = endings, i, []
             while j:
-                node = node.get(word[j - 1])
+                j -= 1
+                node = node.get(word[j])
                 if node is None:
                     break
-                j -= 1
-                if "" in node:
-                    found.append((j, node[""]))
-            size, best = 1, 0.0
+                piece = node.get("")
+                if piece is not None:
+                    found.append(piece)
+            size = 1
             if unigram:
                 best = value[i - 1] + scores.get(word[i - 1], self.v.floor)
-                for j, piece in found:
+                for piece in found:
+                    j = i - len(piece)
                     if value[j] + scores[piece] > best:
                         best, size = value[j] + scores[piece], i - j
             else:
-                for j, piece in reversed(found):
+                best = word[i - 1]
+                for piece in reversed(found):
+                    j = i - len(piece)
                     if j:
-                        key = (word[j - last[j] : j], piece)
+                        key = (value[j], piece)
                         stay = apart.get(key)
                         if not (self.may_follow(*key) if stay is None else stay):
                             continue
-                    size = i - j
+                    best, size = piece, i - j
                     break
             last.append(size)
             value.append(best)
@@ -150,19 +159,22 @@ class Encoder:
                 else:
                     out.append(unknown)
                 i -= last[i]
-            self.known[word] = np.array(out[::-1], "<u4").tobytes()
+            out.reverse()
+            self.known[word] = pack(f"<{len(out)}I", *out)
             before = word
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        fresh = set().union(*cut) - self.known.keys()
+        words = set().union(*cut)
+        fresh = words - self.known.keys()
         if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = set().union(*cut)
-        self.learn(fresh)
+            self.older, self.known, fresh = self.known, {}, words
+        again = fresh & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        self.learn(fresh - again)
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in cut]
+        return [b"".join(map(get, part)) for part in cut]
 
 
 #: Encoders of this process by model file; a worker keeps its words between tasks.
