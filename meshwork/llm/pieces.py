@@ -33,7 +33,7 @@ from meshwork.llm.common import table, workers_import
 
 MARK = "▁"
 #: Words of each of two generations that a worker remembers, at most.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -163,6 +163,10 @@ class Encoder:
             self.known[word] = pack(f"<{len(out)}I", *out)
             before = word
 
+    def forget(self) -> None:
+        """Lets go of the words."""
+        self.known, self.older = {}, {}
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         cut = [_WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
@@ -177,7 +181,8 @@ class Encoder:
         return [b"".join(map(get, part)) for part in cut]
 
 
-#: Encoders of this process by model file; a worker keeps its words between tasks.
+#: Encoders of this process by model file. Words go with the task: a worker may decode
+#: next, and what many workers keep adds up.
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -219,6 +224,7 @@ def encode_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 crcs = [zlib.crc32((t or "").encode("utf-8", "replace")) for t in part]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), pa.array(encoder.encode(part), pa.binary()), pa.array(crcs, pa.int64())], names=[id_col, "ids", "text_crc32"])
                 at = end
+        encoder.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, text_crc32 long")
