@@ -2,15 +2,17 @@
 
 The lexicon holds words, and stems with any ending, that occur in toxic training
 documents and hardly in others. Its trie intersected with the Levenshtein
-automata of its terms is made into one deterministic automaton, which runs over
-the words of many documents at once. Each match looks at its window: matches
+automata of its terms is made into deterministic automata (of ``GROUP`` terms each, as
+a single one grows faster than its terms), which run over the words of many documents
+at once. Each match looks at its window: matches
 inside quotation marks or beside a reporting verb count as quotation and not as
 abuse. A logistic model on the weight and density of the abusive matches gives
 the score.
 
 Everything is learnt from bounded samples of labelled rows (``toxic_rows`` and
 ``clean_rows``, chosen by the hashes of their ids) outside the held-out
-fold; the lexicon has at most ``terms`` entries.
+fold; the lexicon holds every term that passes the tests of ``choose_terms``, so
+the samples bound it.
 
 Defined results: a null or empty text is scored like a text without matches; a
 null id is never used for training; repeated rows score alike; without toxic
@@ -31,7 +33,6 @@ from meshwork.llm.common import bounded_sample, cut, fold, table, workers_import
 
 TOXIC_ROWS = 5_000
 CLEAN_ROWS = 15_000
-TERMS = 120
 THRESHOLD = 0.3
 SHORTEST, LONGEST = 4, 16
 WINDOW = 48
@@ -39,6 +40,8 @@ QUOTES = "\"“”„«»"
 REPORTING = ("said", "says", "called", "wrote", "quoted", "so-called", "sagte", "nannte", "schrieb", "dit", "appelé", "écrit", "dijo", "llamó", "escribió")
 #: Characters of a word besides letters and digits: those that stand in for letters.
 EXTRA = "@$*€"
+#: Terms of one deterministic automaton.
+GROUP = 40
 CODES = 0x250
 
 
@@ -67,12 +70,15 @@ def allowed_edits(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
 
 
-class Automaton:
-    """Words within the allowed edits of a term, or beginning so for a stem."""
+class _Part:
+    """The deterministic automaton of some of the terms."""
 
-    def __init__(self, terms: list[tuple[str, bool]]):
-        """terms: (text, whether any ending may follow)."""
-        self.terms = terms
+    def __init__(self, terms: list[tuple[str, bool]], places: list[int]):
+        """places: the terms' numbers in the whole lexicon, ascending."""
+        self.places = np.array(places, np.int32)
+        # the lengths that a word within the allowed edits can have
+        self.shortest = min(len(t) - allowed_edits(t) for t, _ in terms)
+        self.longest = max((1 << 30) if stem else len(t) + allowed_edits(t) for t, stem in terms)
         children: list[dict[str, int]] = [{}]
         ends: list[list[int]] = [[]]
         most = [0]
@@ -150,6 +156,47 @@ class Automaton:
             if got := accepts(items, True):
                 self.stem[i] = (got[1], got[0])
 
+    def run(self, codes: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: np.ndarray) -> None:
+        """Lowers the rows of ``most`` (edits, place, whole, term; by word) to the matches here."""
+        classes = np.where(codes < CODES, self.classes[small], 0)
+        alive = np.flatnonzero((ends - starts >= self.shortest) & (ends - starts <= self.longest))
+        state = np.ones(len(alive), np.int32)
+        i = 0
+        while len(alive):
+            state = self.moves[state, classes[starts[alive] + i]]
+            i += 1
+            over = starts[alive] + i >= ends[alive]
+            self._lower(most, alive, self.stem[state], i, 0)
+            if over.any():
+                self._lower(most, alive[over], self.final[state[over]], i, 1)
+            going = ~over & (state > 0) & ~self.absorbing[state]
+            alive, state = alive[going], state[going]
+
+    def _lower(self, most: np.ndarray, words: np.ndarray, got: np.ndarray, i: int, whole: int) -> None:
+        hit = got[:, 0] >= 0
+        if not hit.any():
+            return
+        words, got = words[hit], got[hit]
+        new = np.stack([got[:, 1], np.full(len(got), i), np.full(len(got), whole), self.places[got[:, 0]]], 1)
+        old = most[words]
+        less, same = np.zeros(len(words), bool), np.ones(len(words), bool)
+        for k in range(4):
+            less |= same & (new[:, k] < old[:, k])
+            same &= new[:, k] == old[:, k]
+        most[words[less]] = new[less]
+
+
+class Automaton:
+    """Words within the allowed edits of a term, or beginning so for a stem: the match
+    of fewest edits, of these the one that ends first, then a stem, then the first term."""
+
+    def __init__(self, terms: list[tuple[str, bool]]):
+        """terms: (text, whether any ending may follow)."""
+        self.terms = terms
+        order = sorted(range(len(terms)), key=lambda k: (len(terms[k][0]), terms[k][0], k))
+        groups = [sorted(order[i : i + GROUP]) for i in range(0, len(order), GROUP)]
+        self.parts = [_Part([terms[k] for k in g], g) for g in groups]
+
     def scan(self, text: str) -> tuple[list[tuple[int, int, int, int]], int]:
         """Matches (start, end, term, edits) in a lower-cased text, and its words."""
         codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
@@ -161,27 +208,11 @@ class Automaton:
         inside[1:-1] = _IN_WORD[small] | (codes >= CODES)
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
-        classes = np.where(codes < CODES, self.classes[small], 0)
-        alive = np.arange(len(starts))
-        state = np.ones(len(starts), np.int32)
-        best = np.full((len(starts), 2), -1, np.int32)
-        i = 0
-        while len(alive):
-            state = self.moves[state, classes[starts[alive] + i]]
-            i += 1
-            stem = self.stem[state]
-            got = (stem[:, 0] >= 0) & ((best[alive, 0] < 0) | (stem[:, 1] < best[alive, 1]))
-            best[alive[got]] = stem[got]
-            over = starts[alive] + i >= ends[alive]
-            if over.any():
-                final = self.final[state[over]]
-                who = alive[over]
-                hit = (final[:, 0] >= 0) & ((best[who, 0] < 0) | (final[:, 1] < best[who, 1]))
-                best[who[hit]] = final[hit]
-            going = ~over & (state > 0) & ~self.absorbing[state]
-            alive, state = alive[going], state[going]
-        found = np.flatnonzero(best[:, 0] >= 0)
-        return [(int(starts[w]), int(ends[w]), int(best[w, 0]), int(best[w, 1])) for w in found], starts
+        most = np.full((len(starts), 4), 1 << 30, np.int32)
+        for part in self.parts:
+            part.run(codes, small, starts, ends, most)
+        found = np.flatnonzero(most[:, 0] < 1 << 30)
+        return [(int(starts[w]), int(ends[w]), int(most[w, 3]), int(most[w, 0])) for w in found], starts
 
 
 def quotation(text: str, start: int, end: int) -> bool:
@@ -241,7 +272,7 @@ def term_counts(texts: list[str]) -> Counter:
     return total
 
 
-def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, terms: int) -> list[tuple[str, bool]]:
+def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[tuple[str, bool]]:
     """Words and stems frequent in toxic documents and near absent in clean ones.
 
     So many documents must hold a term that, were labels drawn at random, less than
@@ -267,7 +298,7 @@ def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_c
     for w in (x[:-1] for x in pure if x[-1] == " "):
         if not any(w[:n] in chosen for n in range(SHORTEST, len(w) + 1)):
             chosen[w] = (toxic[w + " "], False)
-    best = sorted(chosen.items(), key=lambda x: (-x[1][0], x[0]))[:terms]
+    best = sorted(chosen.items(), key=lambda x: (-x[1][0], x[0]))
     return [(t, stem) for t, (_, stem) in best]
 
 
@@ -286,7 +317,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30)
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 2, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, terms: int = TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 2, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
     import pyarrow as pa
 
     spark = docs.sparkSession
@@ -323,7 +354,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([total[k] for k in keys], pa.int64())], names=["term", "n"])
 
     clean = dict(sample.where("y = 0").select("body").mapInArrow(count_wanted, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False, name=None))
-    model = Model(choose_terms(toxic, clean, n_toxic, n_clean, terms))
+    model = Model(choose_terms(toxic, clean, n_toxic, n_clean))
     if not model.terms:
         model.weights = np.array([np.log((n_toxic + 0.5) / (n_clean + 0.5)), 0, 0, 0])
         return model
