@@ -99,6 +99,8 @@ class _Part:
         for i, c in enumerate(alphabet):
             if ord(c) < CODES:
                 self.classes[ord(c)] = i + 1
+        self.far = np.array([ord(c) for c in alphabet if ord(c) >= CODES], np.uint32)  # the last classes
+        self.first_far = len(alphabet) - len(self.far) + 1
 
         def closed(items) -> frozenset:
             best: dict[int, int] = {}
@@ -159,6 +161,10 @@ class _Part:
     def run(self, codes: np.ndarray, small: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: np.ndarray) -> None:
         """Lowers the rows of ``most`` (edits, place, whole, term; by word) to the matches here."""
         classes = np.where(codes < CODES, self.classes[small], 0)
+        if len(self.far):
+            beyond = np.flatnonzero(codes >= CODES)
+            at = np.minimum(np.searchsorted(self.far, codes[beyond]), len(self.far) - 1)
+            classes[beyond] = np.where(self.far[at] == codes[beyond], at + self.first_far, 0)
         alive = np.flatnonzero((ends - starts >= self.shortest) & (ends - starts <= self.longest))
         state = np.ones(len(alive), np.int32)
         i = 0

@@ -28,3 +28,11 @@ def test_many_automata_match_as_one(monkeypatch):
     some = toxicity.Automaton(terms)
     assert (len(one.parts), len(some.parts)) == (1, -(-len(terms) // 4))
     assert one.scan(text)[0] == some.scan(text)[0] != []
+
+
+def test_terms_of_other_scripts_match():
+    terms = [("негодяйство", False), ("κακοήθης", True), ("idiote", True)]
+    text = "негодяйство негодяйсто доброта κακοήθηςα καλός idioten"
+    found, starts = toxicity.Automaton(terms).scan(text)
+    assert [(text[a:b], k, e) for a, b, k, e in found] == [("негодяйство", 0, 0), ("негодяйсто", 0, 1), ("κακοήθηςα", 1, 0), ("idioten", 2, 0)]
+    assert len(starts) == 6
