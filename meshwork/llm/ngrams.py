@@ -1,4 +1,8 @@
-"""Hashed byte n-grams of a batch of texts, vectorised over the batch."""
+"""Hashed byte n-grams of a batch of texts, vectorised over the batch.
+
+What is summed here are whole numbers, so a text's sums depend on the text alone,
+never on its neighbours in the batch or on where a long text is cut.
+"""
 
 from __future__ import annotations
 
@@ -28,6 +32,13 @@ def slices(raws: list[bytes], most: int = SLICE_BYTES) -> Iterator[list[bytes]]:
         yield held
 
 
+def windows(raw: bytes, overlap: int, most: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A long text in windows that share ``overlap`` bytes with the next, so that each
+    run of overlap + 1 bytes lies in exactly one of them."""
+    for at in range(0, max(1, len(raw) - overlap), most):
+        yield raw[at : at + most + overlap]
+
+
 def joined(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of some texts, a blank before and after each text, and the
     places where each text's share begins (one more at the end)."""
@@ -49,10 +60,17 @@ def buckets(data: np.ndarray, n: int, bits: int) -> np.ndarray:
     return code >> np.uint32(32 - bits)
 
 
+def inner(bounds: np.ndarray, n: int) -> np.ndarray:
+    """Starts and ends, in turns, of the n-grams that lie inside one text's share."""
+    out = np.empty(2 * (len(bounds) - 1), np.int64)
+    out[::2], out[1::2] = bounds[:-1], np.maximum(bounds[1:] - n + 1, bounds[:-1])
+    return out
+
+
 def segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of values[bounds[i]:bounds[i + 1]], zero where that is empty."""
-    total = np.zeros(len(values) + 1)
-    np.cumsum(values, dtype=np.float64, out=total[1:])
+    """Sums of whole numbers values[bounds[i]:bounds[i + 1]], zero where that is empty."""
+    total = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(values, dtype=np.int64, out=total[1:])
     return total[np.minimum(bounds[1:], len(values))] - total[np.minimum(bounds[:-1], len(values))]
 
 

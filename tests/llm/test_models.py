@@ -7,40 +7,11 @@ from pyspark.sql import functions as F
 
 from meshwork.llm import langid, quality, toxicity, urls
 from meshwork.llm.common import fold
-from meshwork.llm.ngrams import buckets
 from tests.conftest import SF
 
 SF01 = "/root/testdata/sf0.01"
 
 
-def test_log_ratios_equal_a_slow_count(spark):
-    texts = {1: "good words here", 2: "bad!! bad!! bad!!", 3: "good good", 4: ""}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
-    model = quality.fit(docs, labels, bits=8)
-    got = {r["doc_id"]: r["log_weight"] for r in quality.resample(docs, model).collect()}
-
-    def grams(t):
-        raw = f" {t} ".encode()
-        return [int(buckets(np.frombuffer(raw[i : i + 3], np.uint8), 3, 8)[0]) for i in range(len(raw) - 2)]
-
-    def probabilities(ts):
-        n = np.full(256, quality.SMOOTHING)
-        for t in ts:
-            for g in grams(t):
-                n[g] += 1
-        return n
-
-    # trigrams that span two texts are counted as well in a batch, but hold two blanks; compare the repetition family alone
-    w = {k: t.split() for k, t in texts.items()}
-    rep = lambda ts: np.array([quality.SMOOTHING + sum(sum(a != b for a, b in zip(t, [None, *t], strict=False)) for t in ts), quality.SMOOTHING + sum(sum(a == b for a, b in zip(t, [None, *t], strict=False)) for t in ts)])
-    t, r = rep([w[1]]), rep(w.values())
-    want = np.log(t / t.sum()) - np.log(r / r.sum())
-    np.testing.assert_allclose(model.table[-2:], want)
-    assert got[1] > got[3] > got[2]
-    assert probabilities(texts.values()).sum() > 0
-
-
 def test_resampling_keeps_the_k_largest_keys(spark):
     keys = spark.range(3000).select(F.col("id"), (F.pmod(F.xxhash64("id"), F.lit(997)) / 7.0).alias("key"))
     values = sorted((r["key"] for r in keys.collect()), reverse=True)
@@ -48,15 +19,6 @@ def test_resampling_keeps_the_k_largest_keys(spark):
         assert quality.kth_largest(keys, k) == values[k - 1]
 
 
-def test_quality_keeps_good_documents_and_drops_others(spark):
-    docs, labels = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/labels.parquet")
-    got = quality.op3_quality(spark, SF01).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
-    share = {r["quality"]: r["kept"] for r in got}
-    assert share[1] > 0.98 and share[0] < 0.4
-    chosen = {r["doc_id"] for r in quality.op3_quality(spark, SF01).where("kept").select("doc_id").collect()}
-    assert {r["doc_id"] for r in quality.keep_good(docs, labels).select("doc_id").collect()} == chosen
-
-
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     got = langid.op4_language(spark, SF01).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
