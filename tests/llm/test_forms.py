@@ -50,7 +50,6 @@ def test_packing_equals_the_reference_tokenizer(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     by: dict = {}
     rows = packing.op9_packing(spark, SF).collect()
     for r in rows:
@@ -66,12 +65,33 @@ def test_packing_equals_the_reference_tokenizer(spark):
         assert at == len(ids)
 
 
-def test_words_are_tokenized_as_in_their_text():
-    encode = packing.WordTokenizer(*packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json")))
+def test_ids_equal_the_file_s_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, library = packing.Tokenizer(path), Tokenizer.from_file(path)
     rng = random.Random(4)
-    for _ in range(4000):
-        text = "".join(rng.choices(["a", "it's", "B", " ", " ", "\n", "\t", "é", "1", "22", "!", "..", " ", "日", "'", "<|endoftext|>"], k=rng.randint(0, 14)))
-        assert encode(text) == encode.raw(text), repr(text)
+    texts = ["", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext |>", "x" * 50_000, " " * 50_000, "\n \t" * 9_000]
+    texts += ["".join(rng.choices(["a", "it's", "B", " ", " ", "\n", "\t", "é", "1", "22", "!", "..", "\u00a0", "日", "'", "<|endoftext|>", "<|endof", "😀"], k=rng.randint(0, 14))) for _ in range(4000)]
+    for text in texts:
+        assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_buckets_hold_equal_lengths_and_do_not_depend_on_the_layout(spark):
+    rows = [(i if i % 9 else None, " ".join(["word"] * (i % 40)) if i % 7 else None) for i in range(500)] + [(5, "again"), (5, "again"), (6, "w " * 9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    for parts in (1, 5):
+        got = packing.pack(docs.repartition(parts), shards=3).collect()
+        assert len({r["sequence_id"] for r in got}) == len(got)
+        batches: dict = {}
+        for r in got:
+            assert r["bucket"] == r["length"] == len(r["ids"]) // 4 and r["offset"] == 0 and r["sequence_id"] >> 56 == r["length"].bit_length() - 1 and 0 <= r["shard"] < 3
+            batches.setdefault((r["bucket"], r["shard"], r["batch"]), []).append(r)
+        assert all(sum(r["length"] for r in b) <= packing.BATCH_TOKENS for b in batches.values())
+        seen.append(sorted((r["sequence_id"], r["doc_id"] or -1, r["start"], bytes(r["ids"]), r["batch"]) for r in got))
+    assert seen[0] == seen[1]
+    assert {r[2] for r in seen[0] if r[1] == 6} >= {0, 1024}
 
 
 def test_pieces_equal_the_library():
