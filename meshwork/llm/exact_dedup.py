@@ -11,7 +11,8 @@ partition, whatever the number of documents.
 Defined results: texts are equal if identical after lower-casing A-Z only; a
 null text counts as empty; of rows that share the winning id too, each is a
 group member and each is marked kept; a null id loses to any other (a group of
-null ids keeps null); extra columns are ignored; an empty table gives none.
+null ids keeps null); extra columns are ignored; an empty table gives none. ``keep_first`` keeps exactly one
+row of each group, also where ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshwork.llm.common import cut, table, workers_import
+from meshwork.llm.survivors import fresh_name, row_key, survivors
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -143,6 +145,14 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return joined.select(F.col("id").alias(id_col), keep_id.alias("keep_id"), F.coalesce("all_n", "n").alias("group_size"), F.col("id").eqNullSafe(keep_id).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of equal texts: that of the smallest id, of equal rows any."""
+    key = fresh_name(docs)
+    keyed = docs.withColumn(key, row_key(docs, id_col))
+    found = exact_duplicates(keyed, key, text_col).where("group_size > 1")
+    return survivors(keyed, key, found.select(F.col(key).alias("key"), F.col("keep_id").alias("best")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 

@@ -188,6 +188,22 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket_cap: int = BUCKET_CA
     return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
 
 
+#: A key with one in so many rows or more is hot: there are at most as many such keys.
+HOT = 1000
+
+
+def beside(rows: DataFrame, small: DataFrame, key: str, total: int, fits: F.Column | None = None) -> DataFrame:
+    """Inner join with ``small``, which has a row for each key and the number ``n`` of the
+    key's rows, of ``total`` in all. Hot keys, at most ``HOT``, come by broadcast, so that no
+    task gets all rows of a key; the rest is shuffled. fits: whether a row of ``small`` is
+    of bounded size, where its columns don't say so."""
+    hot = F.col("n") * HOT >= total
+    hot = hot if fits is None else hot & fits
+    often = F.broadcast(small.where(hot))
+    rest = rows.join(often.select(key), key, "left_anti")
+    return rows.join(often, key).unionByName(rest.join(small.where(~hot), key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b) but the roots: the root is
     its component's smallest node. Alternates large-star and small-star steps,
@@ -200,24 +216,25 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        rest = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = cut(beside(both, low, "u", 2 * now[0]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        rest = beside(large, low, "a", large.count()).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(rest.union(low.select("a", "m")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, words: int = SHINGLE_WORDS, bucket_cap: int = BUCKET_CAP) -> DataFrame:
     """``id_col``, ``fp``, ``component_id``: the smallest id reachable over links."""
     own = cut(fingerprints(docs, id_col, text_col, words))
-    distinct = cut(own.groupBy("fp").agg(F.min(id_col).alias("low")))
+    distinct = cut(own.groupBy("fp").agg(F.min(id_col).alias("low"), F.count("*").alias("n")))
+    total = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     stars = components(links(distinct, radius, bucket_cap))
     members = stars.union(stars.select(F.col("root").alias("node"), "root").distinct())
     lows = members.join(distinct, members.node == distinct.fp).select("node", "root", "low")
-    best = lows.groupBy("root").agg(F.min("low").alias("best"))
-    found = lows.join(best, "root").select("node", "best")
-    classes = distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("best", "low").alias("component_id"))
-    return own.join(classes, "fp").select(id_col, "fp", "component_id")
+    best = lows.groupBy("root").agg(F.min("low").alias("best"), F.count("*").alias("n"))
+    found = beside(lows, best, "root", total).select("node", "best")
+    classes = cut(distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("best", "low").alias("component_id"), "n"))
+    return beside(own, classes, "fp", total).select(id_col, "fp", "component_id")
 
 
 def hex16(fp: str) -> F.Column:

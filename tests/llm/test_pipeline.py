@@ -6,7 +6,7 @@ import public_tokenizers
 import corpus_pipeline
 from meshwork.llm import langid, quality
 from tests.conftest import SF
-from tests.llm.test_dedup import slow_components, slow_fingerprint
+from tests.llm.test_similar import plain_kept
 
 
 def test_pipeline_equals_a_plain_version(spark):
@@ -26,10 +26,8 @@ def test_pipeline_equals_a_plain_version(spark):
     for i in sorted(kept):
         first.setdefault(rows[i].translate(lower), i)
     kept = set(first.values())
-    part = slow_components([(i, slow_fingerprint(rows[i])) for i in sorted(kept)])
-    kept = {i for i in kept if part[i] == i}
+    kept = plain_kept([(i, rows[i]) for i in sorted(kept)])
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     tokens = {i: len(t.encode(rows[i], add_special_tokens=False).ids) + 1 for i in kept}
     got: dict = {}
     for r in corpus_pipeline.run(spark, SF).collect():
