@@ -157,11 +157,3 @@ def test_frames_and_markup_are_left_out():
     <p>one<br>two&nbsp;<b>three</b></p><ul><li>x<li>y</ul><form><input>send</form><script>var a = "<p>no</p>";</script><aside>see also</aside><div class="ad">buy</div><p>four <a href=#>five</a></p><table><tr><td>c1<td>c2</table></article></main>
     <div class="cookie-notice">cookies</div><section id="comments"><p>first!</p></section><footer>(c)</footer></body></html>"""
     assert html_extract.extract(page) == "A & B\n\none two three\n\nx\n\ny\n\nfour five\n\nc1\n\nc2"
-
-
-def test_tree_matching_is_a_largest_common_alignment():
-    a = html_extract.parse("<div><p>x</p></div><p>one</p><p>two</p>")
-    b = html_extract.skeleton(html_extract.parse("<p>zero</p><div><p>x</p></div><p>two</p>"))
-    pairs: list = []
-    assert html_extract.match_trees(a, b, pairs) == 5
-    assert {x.text for x, _ in pairs} in ({"x", "one"}, {"x", "two"})
