@@ -20,14 +20,16 @@ BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", 2000), ("spark.sql.exe
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and every executor can see.
 
-    It is the one named by ``spark.checkpoint.dir``. Only where the session
-    has none (single-machine tests) a temporary folder is set.
+    It is the one named by ``spark.checkpoint.dir``. Only where the session has none and
+    runs in one process (tests) a temporary folder is set; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = held.get() if held.isDefined() else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="meshwork-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -4,10 +4,10 @@ The lexicon holds words, and stems with any ending, that occur in toxic training
 documents and hardly in others. Its trie intersected with the Levenshtein
 automata of its terms is made into deterministic automata (of ``GROUP`` terms each, as
 a single one grows faster than its terms), which run over the words of many documents
-at once. Each match looks at its window: matches
-inside quotation marks or beside a reporting verb count as quotation and not as
-abuse. A logistic model on the weight and density of the abusive matches gives
-the score.
+at once. Each match looks at its context: matches between paired quotation marks of a
+line or beside a reporting verb are quotation. A logistic model on the weight and density
+of the other matches, and on the weight of the quoted ones with coefficients of their
+own, gives the score; what quotation is worth is learnt from the labels.
 
 Everything is learnt from bounded samples of labelled rows (``toxic_rows`` and
 ``clean_rows``, chosen by the hashes of their ids) outside the held-out
@@ -22,6 +22,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -34,9 +35,11 @@ from meshwork.llm.common import bounded_sample, cut, fold, table, workers_import
 TOXIC_ROWS = 5_000
 CLEAN_ROWS = 15_000
 THRESHOLD = 0.3
+FEATURES = 6
 SHORTEST, LONGEST = 4, 16
-WINDOW = 48
-QUOTES = "\"“”„«»"
+#: Closing marks of each opening one; straight marks pair in turns.
+CLOSING = {"“": "”", "„": "“”", "«": "»", "»": "«", "‘": "’"}
+_MARK = re.compile('["“”„«»‘]')
 REPORTING = ("said", "says", "called", "wrote", "quoted", "so-called", "sagte", "nannte", "schrieb", "dit", "appelé", "écrit", "dijo", "llamó", "escribió")
 #: Characters of a word besides letters and digits: those that stand in for letters.
 EXTRA = "@$*€"
@@ -221,20 +224,45 @@ class Automaton:
         return [(int(starts[w]), int(ends[w]), int(most[w, 3]), int(most[w, 0])) for w in found], starts
 
 
-def quotation(text: str, start: int, end: int) -> bool:
-    """Whether a match stands in quotation marks or beside a reporting verb."""
-    before, after = text[max(0, start - WINDOW) : start], text[end : end + WINDOW]
-    if any(q in before for q in QUOTES) and any(q in after for q in QUOTES):
-        return True
-    near = f"{before[-24:]} ".split() + after[:16].split()[:1]
+def quoted_spans(text: str) -> list[tuple[int, int]]:
+    """(begin, end) between paired quotation marks of a line: straight ones in turns, the
+    others from an opening to its closing one. A mark without its partner quotes nothing."""
+    out, line = [], 0
+    for part in text.split("\n"):
+        straight, opened = -1, []
+        for m in _MARK.finditer(part):
+            c, at = m[0], line + m.start()
+            if c == '"':
+                if straight < 0:
+                    straight = at
+                else:
+                    out.append((straight, at))
+                    straight = -1
+            elif opened and c in CLOSING[text[opened[-1]]]:
+                out.append((opened.pop(), at))
+            elif c in CLOSING:
+                opened.append(at)
+        line += len(part) + 1
+    return out
+
+
+def reported(text: str, start: int, end: int) -> bool:
+    """Whether a match stands beside a reporting verb."""
+    near = f"{text[max(0, start - 24) : start]} ".split() + text[end : end + 16].split()[:1]
     return any(w.strip(".,;:") in REPORTING for w in near)
 
 
+def quotation(text: str, start: int, end: int, spans: list[tuple[int, int]] | None = None) -> bool:
+    """Whether a match stands between paired quotation marks or beside a reporting verb."""
+    spans = quoted_spans(text) if spans is None else spans
+    return any(a < start and end <= b for a, b in spans) or reported(text, start, end)
+
+
 @dataclass
 class Model:
     terms: list[tuple[str, bool]] = field(default_factory=list)
     exact_only: frozenset = frozenset()  # (term, edits) that clean documents hold as well
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(4))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     automaton: Automaton | None = None
 
     def hits(self, texts: list[str | None], most: int = 1 << 20):
@@ -255,17 +283,28 @@ class Model:
             words = np.diff(np.searchsorted(starts, bounds))
             out: list[list] = [[] for _ in part]
             owner = np.searchsorted(bounds, [f[0] for f in found], side="right") - 1 if found else []
+            last, spans = -1, []
             for o, (a, b, k, e) in zip(owner, found, strict=True):
                 text, base = part[o], int(bounds[o])
-                out[o].append((k, e, quotation(text, a - base, b - base), whole[a:b]))
+                if o != last:
+                    last, spans = o, quoted_spans(text)
+                out[o].append((k, e, quotation(text, a - base, b - base, spans), whole[a:b]))
             yield from zip(out, words.tolist(), strict=True)
 
     def features(self, matches, words: int) -> list[float]:
-        weight = sum(1.0 if e == 0 else 0.5 for k, e, quoted, _ in matches if not quoted and (k, e) not in self.exact_only)
-        return [1.0, float(weight > 0), np.log1p(weight), min(1.0, 20 * weight / max(words, 1))]
+        """Of the matches outside quotation: whether there are any, their weight and density;
+        of those inside: whether there are any, and their weight."""
+        weight = quoted_weight = 0.0
+        for k, e, quoted, _ in matches:
+            if (k, e) not in self.exact_only:
+                if quoted:
+                    quoted_weight += 1.0 if e == 0 else 0.5
+                else:
+                    weight += 1.0 if e == 0 else 0.5
+        return [1.0, float(weight > 0), np.log1p(weight), min(1.0, 20 * weight / max(words, 1)), float(quoted_weight > 0), np.log1p(quoted_weight)]
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        rows = np.array([self.features(m, n) for m, n in self.hits(texts)]).reshape(-1, 4)
+        rows = np.array([self.features(m, n) for m, n in self.hits(texts)]).reshape(-1, FEATURES)
         return 1 / (1 + np.exp(-np.clip(rows @ self.weights, -30, 30)))
 
 
@@ -335,7 +374,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r[0]: r[1] for r in sample.groupBy("y").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic:
-        return Model([], frozenset(), np.array([np.log(0.5 / (n_clean + 0.5)), 0, 0, 0]), Automaton([]))
+        return Model([], frozenset(), np.array([np.log(0.5 / (n_clean + 0.5)), *[0.0] * (FEATURES - 1)]), Automaton([]))
 
     def count(batches):
         total: Counter = Counter()
@@ -362,7 +401,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     clean = dict(sample.where("y = 0").select("body").mapInArrow(count_wanted, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False, name=None))
     model = Model(choose_terms(toxic, clean, n_toxic, n_clean))
     if not model.terms:
-        model.weights = np.array([np.log((n_toxic + 0.5) / (n_clean + 0.5)), 0, 0, 0])
+        model.weights = np.array([np.log((n_toxic + 0.5) / (n_clean + 0.5)), *[0.0] * (FEATURES - 1)])
         return model
     model.automaton = Automaton(model.terms)
     held = spark.sparkContext.broadcast(model)

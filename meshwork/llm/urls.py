@@ -4,7 +4,8 @@ A rule such as ``net/`` is a host and the start of a path; it fits its host and
 subdomains, and the longest fitting rule wins. The trees are trained on labelled
 URLs; where no labels are given, those are the URLs that a rule decides. Features
 are lengths, depth, digit ratio, entropies, parameter counts and, for the host's
-suffixes, the smoothed share of blocked training URLs.
+suffixes, the smoothed share of blocked training URLs. While the trees are grown, a
+URL sees the shares of other hosts' folds only, so the trees don't learn their own labels.
 
 The training sample is bounded (``rows``: distinct labelled URLs chosen by their
 hashes). Scoring is one pass without a shuffle.
@@ -18,8 +19,10 @@ alike; without labelled URLs of both kinds the verdict is the only kind there is
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +34,8 @@ from meshwork.llm.exact_dedup import LOWER, UPPER
 ROWS = 20_000
 TREES, DEPTH, RATE, BINS = 40, 3, 0.2, 32
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-SUFFIXES = 2_000
+#: Hosts are dealt out to so many folds; a training URL sees the suffix shares of the others.
+FOLDS = 5
 
 
 def split_url(url: str) -> tuple[Column, Column]:
@@ -59,8 +63,15 @@ def entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
-def suffixes(host: str) -> tuple[str, str]:
-    parts = host.split(".")
+_ADDRESS = re.compile(r"\[.*\]|\d{1,3}(?:\.\d{1,3}){3}")
+
+
+def suffixes(host: str) -> tuple[str, ...]:
+    """The last label and the last two of a host without user and port; none for an address."""
+    name = re.sub(r":\d*$", "", host.rpartition("@")[2]).rstrip(".")
+    if _ADDRESS.fullmatch(name):
+        return ("address", "address")
+    parts = name.split(".")
     return parts[-1], ".".join(parts[-2:])
 
 
@@ -79,8 +90,10 @@ class Model:
     rates: dict = field(default_factory=dict)
     prior: float = 0.0
 
-    def features(self, rows) -> np.ndarray:
-        return np.array([lexical(*r) + [self.rates.get(s, self.prior) for s in suffixes(r[1])] for r in rows], dtype=float)
+    def features(self, rows, rates=None) -> np.ndarray:
+        """rates: of each row, where they are not the model's own."""
+        known = [self.rates] * len(rows) if rates is None else rates
+        return np.array([lexical(*r) + [have.get(s, self.prior) for s in suffixes(r[1])] for r, have in zip(rows, known, strict=True)], dtype=float)
 
     def blocked(self, rows) -> np.ndarray:
         """Probability that each (url, host, path) is to be blocked."""
@@ -131,15 +144,21 @@ def train(rows: list[tuple], blocked: np.ndarray, trees: int = TREES, depth: int
     rate = float(blocked.mean())
     if rate in (0.0, 1.0):
         return Model(base=30.0 if rate else -30.0)
-    seen: dict[str, list[float]] = {}
-    for r, y in zip(rows, blocked, strict=True):
-        for s in suffixes(r[1]):
-            held = seen.setdefault(s, [0.0, 0.0])
-            held[0] += y
-            held[1] += 1
-    top = sorted(seen.items(), key=lambda kv: (-kv[1][1], kv[0]))[:SUFFIXES]
-    model = Model(float(np.log(rate / (1 - rate))), [], {s: (a + 2 * rate) / (n + 2) for s, (a, n) in top}, rate)
-    x = model.features(rows)
+    fold = [crc32(r[1].encode("utf-8", "replace")) % FOLDS for r in rows]
+
+    def shares(without: int | None) -> dict[str, float]:
+        seen: dict[str, list[float]] = {}
+        for r, y, f in zip(rows, blocked, fold, strict=True):
+            if f != without:
+                for s in set(suffixes(r[1])):
+                    held = seen.setdefault(s, [0.0, 0.0])
+                    held[0] += y
+                    held[1] += 1
+        return {s: (a + 2 * rate) / (n + 2) for s, (a, n) in seen.items()}
+
+    model = Model(float(np.log(rate / (1 - rate))), [], shares(None), rate)
+    others = [shares(k) for k in range(FOLDS)]
+    x = model.features(rows, [others[f] for f in fold])
     cuts = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for k in range(x.shape[1])]
     total = np.full(len(x), model.base)
     for _ in range(trees):

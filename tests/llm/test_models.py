@@ -77,6 +77,31 @@ def test_trees_learn_lexical_features():
     assert urls.train(good, np.zeros(len(good))).blocked(good).max() < 1e-6
 
 
+def test_suffixes_of_hosts():
+    assert urls.suffixes("192.168.0.1:8080") == urls.suffixes("[::1]:80") == ("address", "address")
+    assert urls.suffixes("me@www.a.example.org:8080") == urls.suffixes("a.example.org.") == ("org", "example.org") and urls.suffixes("") == ("", "")
+
+
+def test_a_url_does_not_see_its_own_label():
+    """Hosts with a suffix each and labels by chance: the trees can't learn them."""
+    rng = np.random.default_rng(0)
+    rows = [(f"http://a{i}.s{i}/x", f"a{i}.s{i}", "/x") for i in range(400)]
+    y = rng.integers(0, 2, 400).astype(float)
+    model = urls.train(rows, y)
+    # by a statistic with the own label all would be told apart
+    assert ((model.blocked(rows) > 0.5) == y).mean() < 0.85
+    scores = urls.Model(model.base, model.trees, model.rates, model.prior).blocked([(r[0] * 50, r[1], r[2]) for r in rows[:3]])
+    assert ((scores > 0) & (scores < 1)).all()
+
+
+def test_urls_of_hosts_that_were_held_out():
+    rng = np.random.default_rng(1)
+    good = [(f"https://{w}{i}.example.org/news/{w}", f"{w}{i}.example.org", f"/news/{w}") for i, w in enumerate(rng.choice(["story", "sport", "art"], 150))]
+    bad = [(f"http://{i}x{i * 7}.example.org/{i}{i}?a={i}&b={i}&c=1", f"{i}x{i * 7}.example.org", f"/{i}{i}") for i in range(150)]
+    model = urls.train(good[::2] + bad[::2], np.array([0.0] * 75 + [1.0] * 75))
+    assert (model.blocked(good[1::2]) < 0.5).mean() > 0.95 and (model.blocked(bad[1::2]) > 0.5).mean() > 0.95
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -112,9 +137,17 @@ def test_automaton_equals_edit_distances():
 
 
 def test_quotation_is_not_abuse():
-    model = toxicity.Model([("idiot", False)], frozenset(), np.array([-3.0, 3.0, 1.0, 1.0]))
+    model = toxicity.Model([("idiot", False)], frozenset(), np.array([-3.0, 3.0, 1.0, 1.0, 0.0, 0.0]))
     plain, quoted, said, none = model.scores(["you are an idiot", 'the word "idiot" is rude', "he said idiot once", ""])
     assert plain > 0.5 > quoted and quoted == said == none
+    between, alone, half, german, angled = model.scores(['"Hello there." You are an idiot! "Bye."', "Hello. You are an idiot! Bye.", 'a 5" idiot', "das Wort „idiot“ ist grob", "le mot « idiot » ici"])
+    assert min(between, alone, half) > 0.5 > german == angled == none
+
+
+def test_quoted_matches_have_weights_of_their_own():
+    model = toxicity.Model([("idiot", False)])
+    rows = list(model.hits(['"idiot" and idiot', 'he wrote "idiot, idiot"', None, ""]))
+    assert [model.features(m, n) for m, n in rows] == [[1.0, 1.0, np.log1p(1.0), 1.0, 1.0, np.log1p(1.0)], [1.0, 0.0, 0.0, 0.0, 1.0, np.log1p(2.0)], [1.0, 0, 0, 0, 0, 0], [1.0, 0, 0, 0, 0, 0]]
 
 
 def test_toxic_documents_that_were_held_out(spark):
