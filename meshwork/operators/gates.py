@@ -73,7 +73,7 @@ def reset(state: DataFrame, types: DataFrame | None = None) -> DataFrame:
 
 def randomize(state: DataFrame, as_of: str, period: int = 182, key: str = "object_id") -> DataFrame:
     """Test aid: last_date_cached somewhere in the last ``period`` days, by the key."""
-    days = F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(period)).cast("int")
+    days = (F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 8), 16, 10).cast("long") % period).cast("int")
     return state.withColumn("last_date_cached", F.date_sub(F.lit(as_of).cast("date"), days))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -81,12 +81,19 @@ def existing(wanted: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return wanted.select(keys).distinct().join(have, keys, "left").select(*keys, F.coalesce("_h", F.lit(0)).alias("found"))
 
 
-def random_rows(table: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    return table.orderBy(F.rand(seed)).limit(n)
+def _draw(keys: list[str], seed: int) -> Column:
+    """A number in hexadecimal that a row's key and the seed give in any layout and engine."""
+    return F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))).cast("binary"))
+
+
+def random_rows(table: DataFrame, n: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """n rows by a seeded hash of the key: equal runs give equal rows."""
+    keys = keys or table.columns
+    return table.orderBy(_draw(keys, seed), *keys).limit(n)
 
 
 def stratified_rows(table: DataFrame, by: list[str], n: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
     """n rows of each stratum, by a seeded hash of the key: equal runs give equal rows."""
     keys = keys or table.columns
-    w = Window.partitionBy(*by).orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
+    w = Window.partitionBy(*by).orderBy(_draw(keys, seed), *keys)
     return table.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")

@@ -1,9 +1,9 @@
 """Object-to-object similarity from shared concepts.
 
 The pair join on a concept is the only step that grows with the square of a
-concept's frequency. It takes only scores from ``min_score`` on, keeps to pairs of
-listed types, and with a gate to objects that are to be processed before the join;
-joined products are summed on each side of the shuffle. Frequent concepts are
+concept's frequency. It takes only scores from ``min_score`` on and keeps to pairs of listed
+types. With a gate the rows of the objects to be processed are one side of the join,
+so it costs their number times a concept's frequency; joined products are summed on each side of the shuffle. Frequent concepts are
 split by AQE's skew join, since both sides are shuffled on the concept.
 """
 
@@ -34,16 +34,19 @@ def similarity(final: DataFrame, pairs: list[tuple[str, str]], gate: DataFrame |
     code = F.lit(None).cast("int")
     for i, kind in enumerate(kinds):
         code = F.when(F.col("object_type") == kind, F.lit(i)).otherwise(code)
-    rows = final.where(F.col("object_type").isin(*kinds) & at_least("score", min_score)).select(*NODE_KEY, "concept_id", "score")
+    rows = kept(final.where(F.col("object_type").isin(*kinds) & at_least("score", min_score)).select(*NODE_KEY, "concept_id", "score"))
     objects = rows.select(NODE_KEY).distinct()
     if gate is not None:
         objects = objects.join(gate.select(NODE_KEY).distinct().withColumn("_g", F.lit(True)), NODE_KEY, "left").withColumn("_g", F.coalesce("_g", F.lit(False)))
     else:
         objects = objects.withColumn("_g", F.lit(True))
     objects = kept(objects.orderBy("object_type", "object_id", "institution_id").select(*NODE_KEY, "_g", code.alias("_t"), F.monotonically_increasing_id().alias("_i")))
-    numbered = rows.join(objects, NODE_KEY).select("concept_id", "score", "_g", "_t", "_i")
-    side = lambda s: numbered.select("concept_id", *(F.col(c).alias(f"{s}{c}") for c in ("score", "_g", "_t", "_i")))
-    joined = side("a").join(side("b"), "concept_id").where("a_i < b_i AND (a_g OR b_g)")
+    numbered = kept(rows.join(objects, NODE_KEY).select("concept_id", "score", "_g", "_t", "_i"))
+    side = lambda s, of: of.select("concept_id", *(F.col(c).alias(f"{s}{c}") for c in ("score", "_g", "_t", "_i")))
+    # the gated objects' rows meet all others, a pair of two gated ends once
+    own = numbered.where("_g") if gate is not None else numbered
+    joined = side("a", own).join(side("b", numbered), "concept_id").where("a_i != b_i AND (NOT b_g OR a_i < b_i)")
+    joined = joined.select(F.least("a_i", "b_i").alias("a_i"), F.greatest("a_i", "b_i").alias("b_i"), F.least("a_t", "b_t").alias("a_t"), F.greatest("a_t", "b_t").alias("b_t"), "ascore", "bscore")
     if len(kinds) > 1:
         joined = joined.where((F.col("a_t") * len(kinds) + F.col("b_t")).isin(*(kinds.index(x) * len(kinds) + kinds.index(y) for x, y in allowed)))
     got = joined.groupBy("a_i", "b_i").agg(F.sum(F.col("ascore") * F.col("bscore")).alias("score"), F.count("*").alias("n_concepts"))

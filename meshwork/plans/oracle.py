@@ -100,9 +100,19 @@ V: dict[str, str] = {
     "v_n5": """SELECT from_object_type AS object_type, from_object_id AS object_id, avg(degree) AS avg_degree, avg(log_degree) AS avg_log_degree, avg(norm_log_degree) AS avg_norm_log_degree FROM v_n4
         WHERE from_object_type || '>' || to_object_type IN ('Category>Course', 'Category>Lecture', 'Category>Person', 'Category>Publication', 'Concept>Course', 'Concept>Lecture', 'Concept>Publication', 'Course>Concept', 'Course>Lecture', 'Lecture>Concept', 'Lecture>Slide', 'MOOC>Concept', 'MOOC>Lecture', 'Person>Publication', 'Publication>Concept', 'Startup>Concept', 'Unit>Concept', 'Unit>Person', 'Widget>Concept') GROUP BY ALL""",
     # similarity
-    "v_x1": f"""SELECT a.object_id AS a_id, b.object_id AS b_id, sum(a.score * b.score) AS score, count(*) AS n FROM v_k10 a JOIN v_k10 b ON a.concept_id = b.concept_id AND a.object_type = 'Person' AND b.object_type = 'Person' AND a.object_id < b.object_id
-        WHERE {least('a.score', 0.1)} AND {least('b.score', 0.1)} GROUP BY ALL HAVING count(*) >= 4 AND {least('sum(a.score * b.score)', 0.1)}""",
-    "v_x4": f"SELECT a_id, b_id, s AS score FROM (SELECT a_id, b_id, {sigma('score', '(SELECT avg(score) FROM v_x1)')} AS s FROM v_x1) WHERE {least('s', 0.1)}",
+    # numbers stand for the objects, in the order of (type, id)
+    "v_scored": f"SELECT object_type, object_id, concept_id, score FROM v_k10 WHERE {least('score', 0.1)}",
+    "v_numbers": "SELECT object_type, object_id, CAST(row_number() OVER (ORDER BY object_type, object_id) AS INTEGER) AS i FROM (SELECT DISTINCT object_type, object_id FROM v_scored WHERE object_type IN ('Person', 'Publication', 'Unit', 'Course'))",
+    "v_numbered": "SELECT i, object_type, concept_id, score FROM v_scored JOIN v_numbers USING (object_type, object_id)",
+    "v_x1n": f"""SELECT a.i AS a_i, b.i AS b_i, sum(a.score * b.score) AS score, count(*) AS n FROM (SELECT * FROM v_numbered WHERE object_type = 'Person') a JOIN (SELECT * FROM v_numbered WHERE object_type = 'Person') b ON a.concept_id = b.concept_id AND a.i < b.i
+        GROUP BY ALL HAVING count(*) >= 4 AND {least('sum(a.score * b.score)', 0.1)}""",
+    "v_x1": "SELECT a.object_id AS a_id, b.object_id AS b_id, score, n FROM v_x1n JOIN v_numbers a ON a.i = a_i JOIN v_numbers b ON b.i = b_i",
+    "v_x4": f"SELECT a_id, b_id, s AS score FROM (SELECT a_id, b_id, {sigma('score', 'avg(score) OVER ()')} AS s FROM v_x1) WHERE {least('s', 0.1)}",
+    # the configured pairs of types that the tables have
+    "v_xall": f"""SELECT a.i AS a_i, b.i AS b_i, any_value(a.object_type) AS a_type, any_value(b.object_type) AS b_type, sum(a.score * b.score) AS score FROM v_numbered a JOIN v_numbered b ON a.concept_id = b.concept_id AND a.i < b.i
+        AND (a.object_type = b.object_type OR (a.object_type = 'Person' AND b.object_type IN ('Publication', 'Unit')) OR (a.object_type = 'Publication' AND b.object_type = 'Unit'))
+        GROUP BY a.i, b.i HAVING count(*) >= 4 AND {least('sum(a.score * b.score)', 0.1)}""",
+    "v_xalladj": f"SELECT a_type, a.object_id AS a_id, b_type, b.object_id AS b_id, s AS score FROM (SELECT *, {sigma('score', 'avg(score) OVER (PARTITION BY a_type, b_type)')} AS s FROM v_xall) JOIN v_numbers a ON a.i = a_i JOIN v_numbers b ON b.i = b_i WHERE {least('s', 0.1)}",
     # index
     "v_atinst": "SELECT a.person_id AS person_id, max(CASE WHEN e.unit_id IS NULL THEN 1 ELSE 0 END) AS v FROM v_affil a LEFT JOIN v_ended e USING (person_id, unit_id) GROUP BY ALL",
     "v_pdoc": "SELECT person_id AS doc_id, v AS is_at_institution, coalesce(avg_norm_log_degree, 0.001e0) AS degree_score FROM v_atinst LEFT JOIN v_n5 ON object_type = 'Person' AND object_id = person_id",
@@ -113,6 +123,10 @@ V: dict[str, str] = {
 }
 
 
+#: Views that are read more than once and dear.
+ONCE = frozenset("v_k10 v_numbered v_x1n v_xall v_x4".split())
+
+
 def sql(body: str) -> str:
     """The statement with the views it needs before it."""
     needed: list[str] = []
@@ -125,4 +139,4 @@ def sql(body: str) -> str:
                     needed.append(name)
 
     want(body)
-    return ("WITH " + ",\n".join(f"{n} AS ({V[n]})" for n in needed) + "\n" if needed else "") + body
+    return ("WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in ONCE else ''}({V[n]})" for n in needed) + "\n" if needed else "") + body

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwork.config import INDEX, SCORES
+from meshwork.config import DEGREE_PAIRS, INDEX, SCORES
 from meshwork.functions import scalars as fn
 from meshwork.operators import degree, entities, fields, gates, index, quality, scoring, search, similarity, traverse, upsert, views
 from meshwork.operators.index import DOC, LINK
@@ -60,7 +60,7 @@ class Run(Star):
     @cached_property
     def k1_raw(self):
         courses = self.lecture_edges.select(F.col("to_object_id").alias("id"), F.col("from_object_id").alias("lecture_id"))
-        return scoring.slide_sums(courses, self.slide_ends, self.slide_detections)
+        return kept(scoring.slide_sums(courses, self.slide_ends, self.slide_detections))
 
     @cached_property
     def k1(self):
@@ -69,7 +69,7 @@ class Run(Star):
 
     @cached_property
     def k5_raw(self):
-        return scoring.concept_sums(self.g4, "person_id", "Person", 0.1)
+        return kept(scoring.concept_sums(self.g4, "person_id", "Person", 0.1))  # read for the mean and for the rows
 
     @cached_property
     def k5(self):
@@ -85,7 +85,7 @@ class Run(Star):
 
     @cached_property
     def k6_raw(self):
-        return scoring.concept_sums(self.g5, "unit_id", "Unit", 1)
+        return kept(scoring.concept_sums(self.g5, "unit_id", "Unit", 1))
 
     @cached_property
     def k6(self):
@@ -93,7 +93,7 @@ class Run(Star):
 
     @cached_property
     def k7_raw(self):
-        return scoring.category_sums(self.category_cluster, self.cluster_concept, self.concept_symmetric)
+        return kept(scoring.category_sums(self.category_cluster, self.cluster_concept, self.concept_symmetric))
 
     @cached_property
     def k7(self):
@@ -157,6 +157,15 @@ class Run(Star):
     def n5(self):
         return kept(degree.degree_scores(self.n4))
 
+    def n5_of(self, kind: str):
+        """Degree scores of one type of scored objects, from its own pairs of types alone."""
+        ends = [b for a, b in DEGREE_PAIRS if a == kind]
+        here, there = (F.col("from_object_type") == kind) & F.col("to_object_type").isin(*ends), (F.col("to_object_type") == kind) & F.col("from_object_type").isin(*ends)
+        parts = [degree.edge_degrees(self.edges.where(here)), degree.edge_degrees(self.edges.where(there), inverse=True)]
+        if "Concept" in ends:
+            parts.append(degree.ontology_degrees(self.k10_of(kind), "concept_id", "Concept"))
+        return degree.degree_scores(degree.normalised(kept(union(parts))))
+
     @cached_property
     def x1(self):
         return similarity.similarity(self.k10_of("Person"), [("Person", "Person")])
@@ -179,7 +188,7 @@ class Run(Star):
 
     @cached_property
     def person_docs(self):
-        return index.doc_fields(self.profiles, fields.is_at_institution(self.affiliations, self.edge_fields, AS_OF), self.n5, "Person", ["is_at_institution"])
+        return index.doc_fields(self.profiles, fields.is_at_institution(self.affiliations, self.edge_fields, AS_OF), self.n5_of("Person"), "Person", ["is_at_institution"])
 
     @cached_property
     def org(self):
@@ -318,8 +327,8 @@ query("w6_rank_offset", "SELECT o_orderkey, CAST(o_orderkey % 5 + (SELECT max(l_
 query("o1_order_by", "SELECT c_custkey, c_name FROM customer ORDER BY c_name")(lambda g: g.table("customer").select("c_custkey", "c_name").orderBy("c_name"))
 query("o2_dynamic_order", _ORG_SQL.replace("SELECT o.doc_id AS doc_id, link_id, is_active_affiliation, is_at_institution, degree_score,", "SELECT o.doc_id AS doc_id, link_id,"))(lambda g: ranked_org(g).select("doc_id", "link_id", big("row_rank")))
 query("o3_topk", "SELECT doc_id, link_id, row_rank FROM (SELECT o_custkey AS doc_id, o_orderkey AS link_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS row_rank FROM orders) WHERE row_rank <= 3")(lambda g: g.table("orders").selectExpr("o_custkey as doc_id", "o_orderkey as link_id", "row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as row_rank").where("row_rank <= 3").select("doc_id", "link_id", big("row_rank")))
-query("o4_random_rows")(lambda g: quality.random_rows(g.table("orders").select("o_orderkey"), 50))
-query("o5_stratified_sample")(lambda g: quality.stratified_rows(g.nodes.select("object_type", "object_id"), ["object_type"], 5, keys=["object_id"]))
+query("o4_random_rows", "SELECT o_orderkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42'), o_orderkey LIMIT 50")(lambda g: quality.random_rows(g.table("orders").select("o_orderkey"), 50))
+query("o5_stratified_sample", "SELECT object_type, object_id FROM v_nodes QUALIFY row_number() OVER (PARTITION BY object_type ORDER BY md5(object_id || '|42'), object_id) <= 5")(lambda g: quality.stratified_rows(g.nodes.select("object_type", "object_id"), ["object_type"], 5, keys=["object_id"]))
 query("u1_symmetric_union", "SELECT from_object_type, from_object_id, to_object_type, to_object_id FROM v_edges UNION ALL SELECT to_object_type, to_object_id, from_object_type, from_object_id FROM v_edges")(lambda g: g.edges.unionByName(views.mirrored(g.edges)).select("from_object_type", "from_object_id", "to_object_type", "to_object_id"))
 query("u2_union_distinct", "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")(lambda g: g.table("customer").select(F.col("c_nationkey").alias("k")).union(g.table("supplier").select("s_nationkey")).distinct())
 query("u3_difference", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)")(lambda g: g.table("part").join(g.table("lineitem").select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti").select("p_partkey"))
@@ -362,7 +371,7 @@ query("c5_sync_nodes", "SELECT object_type, object_id, to_process FROM v_state U
 query("c6_sync_edges", "SELECT DISTINCT from_object_type, from_object_id, to_object_type, to_object_id, 1 AS to_process FROM v_edges")(lambda g: gates.sync(g.spark.createDataFrame([], ", ".join(f"{c} string" for c in EDGE_KEY) + ", to_process int"), union([g.edges, g.slide_edges.limit(0)]), EDGE_KEY).select("from_object_type", "from_object_id", "to_object_type", "to_object_id", "to_process"))
 query("c7_sync_scores", "SELECT object_type, object_id, 0 AS to_process FROM v_nodes")(lambda g: gates.sync(g.spark.createDataFrame([], "institution_id string, object_type string, object_id string, to_process int"), g.nodes, NODE_KEY, 0).select("object_type", "object_id", "to_process"))
 query("c8_reset", "SELECT object_type, object_id, CASE WHEN object_type = 'Person' THEN 0 ELSE to_process END AS to_process FROM v_state")(lambda g: gates.reset(g.state, g.spark.createDataFrame([("Person",)], "object_type string")).select("object_type", "object_id", "to_process"))
-query("c9_randomize")(lambda g: gates.randomize(g.state, AS_OF).select("object_type", "object_id", "last_date_cached"))
+query("c9_randomize", "SELECT object_type, object_id, CAST(DATE '2001-08-02' - CAST(CAST('0x' || left(md5(object_id), 8) AS BIGINT) % 182 AS INTEGER) AS DATE) AS last_date_cached FROM v_state")(lambda g: gates.randomize(g.state, AS_OF).select("object_type", "object_id", "last_date_cached"))
 query("c10_expire", "SELECT object_type, object_id, has_expired FROM v_expired")(lambda g: g.expired.select("object_type", "object_id", "has_expired"))
 query("c11_refresh", "SELECT object_type, object_id, has_changed, has_expired, to_process FROM v_fresh")(lambda g: g.fresh.select("object_type", "object_id", "has_changed", "has_expired", "to_process"))
 query("c12_stats", "SELECT object_type, count(*) FILTER (last_date_cached IS NULL) AS new_or_never_cached, count(*) FILTER (has_changed = 1) AS checksum_changed, count(*) FILTER (has_expired = 1) AS cache_expired, count(*) FILTER (to_process = 1) AS to_process FROM v_fresh GROUP BY ROLLUP (object_type)")(lambda g: gates.refresh_stats(g.fresh))
@@ -426,7 +435,7 @@ query("x3_pair_means", "SELECT 'Person' AS from_object_type, 'Person' AS to_obje
 query("x4_adjusted", "SELECT a_id, b_id, round(score, 6) AS score FROM v_x4")(lambda g: g.x4.select(F.col("from_object_id").alias("a_id"), F.col("to_object_id").alias("b_id"), r6("score")))
 query("x5_to_ontology", f"SELECT object_type, object_id, 'Category' AS to_object_type, category_id AS to_object_id, round(score, 6) AS score FROM v_k13 WHERE {least('score', 0.1)}")(lambda g: similarity.to_ontology(g.k13, "category_id", "Category").select(F.col("from_object_type").alias("object_type"), F.col("from_object_id").alias("object_id"), "to_object_type", "to_object_id", r6("score")))
 query("x6_concept_pairs", f"SELECT from_id, to_id, round(normalised_score, 6) AS score FROM v_undir WHERE {least('normalised_score', 0.1)}")(lambda g: similarity.concept_pairs(g.concept_undirected).select(F.col("from_object_id").alias("from_id"), F.col("to_object_id").alias("to_id"), r6("score")))
-query("x7_score_all", f"SELECT 'Person' AS from_object_type, a_id AS from_object_id, 'Person' AS to_object_type, b_id AS to_object_id, round(score, 6) AS score FROM v_x4 UNION ALL SELECT object_type, object_id, 'Concept', concept_id, round(score, 6) FROM v_k10 WHERE {least('score', 0.1)} UNION ALL SELECT object_type, object_id, 'Category', category_id, round(score, 6) FROM v_k13 WHERE {least('score', 0.1)} UNION ALL SELECT 'Concept', from_id, 'Concept', to_id, round(normalised_score, 6) FROM v_undir WHERE {least('normalised_score', 0.1)}")(lambda g: similarity.score_all(g.k10_kept, g.k13_kept, g.concept_undirected, [("Person", "Person")]).select("from_object_type", "from_object_id", "to_object_type", "to_object_id", r6("score")))
+query("x7_score_all", f"SELECT a_type AS from_object_type, a_id AS from_object_id, b_type AS to_object_type, b_id AS to_object_id, round(score, 6) AS score FROM v_xalladj UNION ALL SELECT object_type, object_id, 'Concept', concept_id, round(score, 6) FROM v_k10 WHERE {least('score', 0.1)} UNION ALL SELECT object_type, object_id, 'Category', category_id, round(score, 6) FROM v_k13 WHERE {least('score', 0.1)} UNION ALL SELECT 'Concept', from_id, 'Concept', to_id, round(normalised_score, 6) FROM v_undir WHERE {least('normalised_score', 0.1)}")(lambda g: similarity.score_all(g.k10_kept, g.k13_kept, g.concept_undirected, SCORES.pairs()).select("from_object_type", "from_object_id", "to_object_type", "to_object_id", r6("score")))
 
 # ---- index
 query("i1_doc_fields", "SELECT doc_id, is_at_institution, round(degree_score, 6) AS degree_score FROM v_pdoc")(lambda g: g.person_docs.select("doc_id", "is_at_institution", r6("degree_score")))
@@ -463,7 +472,7 @@ def _mentors(g):
 
 
 def nested_units(g):
-    docs = index.doc_fields(g.profiles, g.calculated, g.n5, "Unit", ["is_active_unit", "is_research_unit"])
+    docs = index.doc_fields(g.profiles, g.calculated, g.n5_of("Unit"), "Unit", ["is_active_unit", "is_research_unit"])
     docs = index.doc_texts(docs, g.profiles, "Unit", INDEX)
     people = index.doc_texts(g.person_docs, g.profiles, "Person", INDEX)
     return index.nested_docs(docs, ranked_org(g).where(F.col("row_rank") <= index.ES_LINKS), people.select(*DOC, "name_en", "name_fr"))
@@ -526,10 +535,10 @@ def _flagship(g):
     return index.rank_links(links, [], "_s", 10).select("doc_id", "link_id", big("row_rank"), r6("semantic_score"))
 
 
-@query("full_scores_config")
+@query("full_scores_config", "SELECT a_type AS from_object_type, b_type AS to_object_type, count(*) AS n FROM v_xall GROUP BY ALL")
 def _(g):
     """All configured pairs of types that the data has, in one plan."""
-    return similarity.similarity(g.k10_of("Person", "Unit"), SCORES.pairs()).groupBy("from_object_type", "to_object_type").agg(F.count("*").alias("n"))
+    return similarity.similarity(g.k10_kept, SCORES.pairs()).groupBy("from_object_type", "to_object_type").agg(F.count("*").alias("n"))
 
 
 def queries() -> dict[str, Query]:

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder of spark.checkpoint.dir; a temporary one only where none is set and all
+    runs in one process. On a cluster a missing setting is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = held.get() if held.isDefined() else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="meshwork-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
