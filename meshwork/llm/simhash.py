@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwork.llm.common import cut, table, utf8, workers_import
+from meshwork.llm.common import cut, release, table, utf8, workers_import
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -204,10 +204,21 @@ def beside(rows: DataFrame, small: DataFrame, key: str, total: int, fits: F.Colu
     return rows.join(often, key).unionByName(rest.join(small.where(~hot), key))
 
 
+def _star_steps(edges: DataFrame, total: int) -> DataFrame:
+    """A large-star and a small-star step over ``total`` edges."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    large = cut(beside(both, low, "u", 2 * total).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
+    low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    rest = beside(large, low, "a", large.count()).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return cut(rest.union(low.select("a", "m")).distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b) but the roots: the root is
     its component's smallest node. Alternates large-star and small-star steps,
-    both made of aggregates and joins, until the edges no longer change."""
+    both made of aggregates and joins, until the edges no longer change. The files of a
+    step are released after the next one."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     before = None
     while True:
@@ -215,12 +226,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = cut(beside(both, low, "u", 2 * now[0]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        rest = beside(large, low, "a", large.count()).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = cut(rest.union(low.select("a", "m")).distinct())
+        edges = _star_steps(edges, now[0])
+        release(edges.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, words: int = SHINGLE_WORDS, bucket_cap: int = BUCKET_CAP) -> DataFrame:
