@@ -188,6 +188,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket_cap: int = BUCKET_CA
     return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
 
 
+#: Edges up to which one task finds the components (16 bytes each).
+TOGETHER = 1 << 17
 #: A key with one in so many rows or more is hot: there are at most as many such keys.
 HOT = 1000
 
@@ -214,15 +216,48 @@ def _star_steps(edges: DataFrame, total: int) -> DataFrame:
     return cut(rest.union(low.select("a", "m")).distinct())
 
 
+def lowest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, roots) of the edges' nodes but the roots."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while len(apart := np.flatnonzero(root[x] != root[y])):
+        x, y = x[apart], y[apart]
+        low = np.minimum(root[x], root[y])
+        for end in (root[x], root[y]):
+            np.minimum.at(root, end, low)
+        while (root[root] != root).any():
+            root = root[root]
+    below = root != np.arange(len(nodes))
+    return nodes[below], nodes[root[below]]
+
+
+def _united(edges: DataFrame) -> DataFrame:
+    """The components of a bounded number of edges, in one task."""
+    import pyarrow as pa
+
+    def run(batches):
+        parts = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches if batch.num_rows]
+        if parts:
+            found = lowest(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["node", "root"])
+
+    workers_import(edges.sparkSession)
+    return cut(edges.select("a", "b").coalesce(1).mapInArrow(run, "node long, root long"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b) but the roots: the root is
     its component's smallest node. Alternates large-star and small-star steps,
     both made of aggregates and joins, until the edges no longer change. The files of a
-    step are released after the next one."""
+    step are released after the next one. Up to ``TOGETHER`` edges one task gives the
+    same, as a step costs many small files however few the edges."""
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     before = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if 0 < now[0] <= TOGETHER:
+            return _united(edges)
         if now == before or not now[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now

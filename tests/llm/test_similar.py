@@ -106,3 +106,33 @@ def test_keys_keep_the_order_of_ids(spark):
     assert keys == sorted(keys) and len(set(keys)) == len(ids)
     odd = spark.createDataFrame([(1, None, "a"), (1, "a", None), (1, "", "a"), (1, "a", "")], "doc_id long, x string, y string")
     assert odd.select(survivors.row_key(odd)).distinct().count() == 4
+
+
+def test_components_in_one_task_and_by_steps(spark):
+    """Chains, stars and loops: both ways find the smallest node, and few edges take few jobs."""
+    import random
+
+    from meshwork.llm import simhash
+
+    draw = random.Random(3)
+    edges = [(i + 1, i) for i in range(-300, -200)] + [(1000, i) for i in range(1001, 1100)] + [(7, 7), (8, 9), (9, 8)] + [(draw.randrange(2000, 2400), draw.randrange(2000, 2400)) for _ in range(250)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    root: dict = {}
+
+    def top(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        x, y = sorted((top(a), top(b)))
+        root[y] = x
+    want = sorted((i, top(i)) for i in root if top(i) != i)
+    spark.sparkContext.setJobGroup("few", "few edges")
+    assert sorted(map(tuple, simhash.components(df).collect())) == want
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few")) <= 12
+    simhash.TOGETHER, held = 0, simhash.TOGETHER
+    try:
+        assert sorted(map(tuple, simhash.components(df).collect())) == want
+    finally:
+        simhash.TOGETHER = held
