@@ -18,8 +18,8 @@ Pages of one host are not brought together: each page is aligned on its own and
 counts by (host, container) are shuffled, which are compared by joins. Trees are walked
 without recursion and named by hashes of their paths, so depth costs no more than length;
 equal subtrees and runs of equal structure are matched first, and the quadratic
-programme runs on what is left, up to ``CELLS`` cells a page, beyond which children are
-paired in order by name. Reference trees and wrappers are broadcast when their summed
+programme runs on what is left, whole, whatever its size: from ``CELLS`` cells on by arrays
+(``Grid``), which give the same pairs. Reference trees and wrappers are broadcast when their summed
 size is below ``BROADCAST_BYTES``, else joined by host with frequent hosts dealt out.
 
 Defined results: a null or empty html gives an empty text; a host with one page, or a
@@ -48,8 +48,10 @@ BROADCAST_BYTES = 8 << 20
 REFERENCES = 3
 #: A block or element is template if so many of the host's pages hold it with equal text.
 REPEATED = 0.6
-#: Cells of the matching programme for one alignment.
+#: Cells from which on the matching programme runs by arrays; the pairs are the same.
 CELLS = 50_000
+#: Bits of a grid's steps that are held at once, and bytes of its weights of repeated subtrees.
+HELD, WEIGHTS = 1 << 30, 1 << 26
 #: A host with one in so many pages or more is dealt out.
 FREQUENT = 1000
 
@@ -287,12 +289,158 @@ class Shape:
         return json.dumps([self.name, self.end, self.crc], separators=(",", ":"))
 
 
+class Grid:
+    """The matching programme for a pair (i, j) of nodes by arrays: a row for each node below
+    i, which runs over all nodes of the same path below j at once. Subtrees that are equal, but for
+    texts that the other side has not, are one class with one row. Two bits for each cell say
+    how the best alignment of the siblings up to there arises; if they are more than
+    ``HELD``, those of the pair's own children are made again in blocks of rows, and pairs
+    below have none."""
+
+    def __init__(self, a: Shape, b: Shape, i: int, j: int):
+        self.a, self.b, self.root = a, b, (i, j)
+        texts = lambda t, k: {t.crc[x] for x in range(k, t.end[k]) if t.name[x] == "#"}
+        shared, paths, ids = texts(a, i) & texts(b, j), {}, {}
+
+        def classes(tree, top, known):
+            """By node: its path's number (-1: none of the other tree's) and its class."""
+            path, kind, above = {top: 0}, {}, [top]
+            for x in range(top + 1, tree.end[top]):
+                while tree.end[above[-1]] <= x:
+                    above.pop()
+                key = (path[above[-1]], tree.name[x])
+                path[x] = paths.get(key, -1) if known else paths.setdefault(key, len(paths) + 1)
+                above.append(x)
+            for x in range(tree.end[top] - 1, top - 1, -1):
+                text = tree.crc[x] if tree.name[x] == "#" and tree.crc[x] in shared else None
+                kind[x] = ids.setdefault((tree.name[x], text, tuple([kind[k] for k in tree.kids[x]])), len(ids))
+            return path, kind
+
+        self.path_b, self.kind_b = classes(b, j, False)
+        self.path_a, self.kind_a = classes(a, i, True)
+        self.column: list[dict[int, int]] = [{} for _ in range(len(paths) + 1)]  # of each class, by path
+        firsts: list[list[int]] = [[] for _ in self.column]
+        for x in range(j, b.end[j]):
+            columns = self.column[self.path_b[x]]
+            if self.kind_b[x] not in columns:
+                columns[self.kind_b[x]] = len(columns)
+                firsts[self.path_b[x]].append(x)
+        most = 2 * (b.end[j] - j) + 1  # above any sum, so that a running maximum stays in its segment
+        kind = np.int32 if most * (b.end[j] - j + 1) < 2**31 else np.int64
+        self.start, self.base, self.last, self.slots, self.crcs = [], [], [], [], []
+        for first in firsts:  # a segment for each class: a place before its children, and theirs
+            sizes = np.array([len(b.kids[x]) + 1 for x in first])
+            start = np.cumsum(sizes) - sizes
+            slots: dict[int, tuple[list, list]] = {}
+            for at, x in zip(start.tolist(), first, strict=True):
+                for k, c in enumerate(b.kids[x], at + 1):
+                    own = slots.setdefault(self.path_b[c], ([], []))
+                    own[0].append(k)
+                    own[1].append(self.column[self.path_b[c]][self.kind_b[c]])
+            self.start.append(start)
+            self.base.append(np.repeat(np.arange(len(first)), sizes).astype(kind) * kind(most))
+            self.last.append(start + sizes - 1)
+            self.slots.append({q: (np.array(x), np.array(y)) for q, (x, y) in slots.items()})
+            self.crcs.append(np.array([b.crc[x] if b.name[x] == "#" else -1 for x in first]))
+        seen: dict = {}
+        for x in range(i, a.end[i]):
+            key = (self.path_a[x], self.kind_a[x])
+            seen[key] = seen.get(key, 0) + 1
+        self.often = {key for key, n in seen.items() if n > 1}
+        first_of = {(self.path_a[x], self.kind_a[x]): x for x in range(i, a.end[i]) if self.path_a[x] >= 0}
+        self.all = sum(2 * len(a.kids[x]) * len(self.base[key[0]]) for key, x in first_of.items()) <= HELD
+        self.weights: dict = {}
+        self.free = WEIGHTS
+        self.bits: dict = {}
+
+    def feed(self, parent: int, child: int, weight: np.ndarray, state: np.ndarray, bits: list | None) -> np.ndarray:
+        """The state of a node, the best sums up to each place, after one more child."""
+        at, column = self.slots[self.path_a[parent]][self.path_a[child]]
+        new = state.copy()
+        new[at] = np.maximum(state[at], state[at - 1] + weight[column])
+        np.maximum.accumulate(new, out=new)
+        if bits is not None:
+            left = np.zeros(len(new), bool)
+            left[1:] = new[1:] == new[:-1]
+            bits.append((np.packbits(new == state), np.packbits(left)))
+        return new
+
+    def sweep(self, rows: list[int], state: np.ndarray, bits: list | None) -> np.ndarray:
+        """The root's state after the children ``rows``; bits: takes those of its steps."""
+        a, root = self.a, self.root[0]
+        stack = [[root, iter(rows), state, bits]]
+        while True:
+            node, rest, state, bits = top = stack[-1]
+            child = next(rest, None)
+            if child is not None:
+                key = (self.path_a[child], self.kind_a[child])
+                if key[0] < 0:
+                    if bits is not None:
+                        bits.append(None)
+                elif key in self.weights:
+                    top[2] = self.feed(node, child, self.weights[key], state, bits)
+                else:
+                    own = self.bits.setdefault(key, []) if self.all and key not in self.bits else None
+                    stack.append([child, iter(a.kids[child]), self.base[key[0]], own])
+                continue
+            stack.pop()
+            if not stack:
+                return state
+            key = (self.path_a[node], self.kind_a[node])
+            last = self.last[key[0]]
+            weight = state[last] - self.base[key[0]][last] + 1
+            if a.name[node] == "#":
+                weight += self.crcs[key[0]] == a.crc[node]
+            if key in self.often and weight.nbytes <= self.free:
+                self.weights[key] = weight
+                self.free -= weight.nbytes
+            above = stack[-1]
+            above[2] = self.feed(above[0], node, weight, above[2], above[3])
+
+    def chosen(self, i: int, j: int, lo: int, hi_a: int, hi_b: int) -> list[tuple[int, int]] | None:
+        """The aligned children of (i, j) among those from ``lo`` to ``hi_a`` and ``hi_b``; None
+        if the pair's bits are not held."""
+        rows, cols, path = self.a.kids[i], self.b.kids[j], self.path_a[i]
+        begin, out = int(self.start[path][self.column[path][self.kind_b[j]]]), []
+        x, y = hi_a, hi_b
+
+        def walk(bits, first):
+            nonlocal x, y
+            while x > max(lo, first) and y > lo:
+                step, at = bits[x - 1 - first], begin + y
+                if step is None or step[0][at >> 3] >> (7 - (at & 7)) & 1:
+                    x -= 1
+                elif step[1][at >> 3] >> (7 - (at & 7)) & 1:
+                    y -= 1
+                else:
+                    x, y = x - 1, y - 1
+                    out.append((rows[x], cols[y]))
+
+        if (i, j) != self.root:
+            held = self.bits.get((path, self.kind_a[i]))
+            if held is None:
+                return None
+            walk(held, 0)
+            return out
+        block = hi_a if self.all else max(1, HELD // (2 * len(self.base[0])))
+        states = [self.base[0]]
+        for first in range(0, hi_a - block, block):
+            states.append(self.sweep(rows[first : first + block], states[-1], None))
+        for k in range(len(states) - 1, -1, -1):
+            if x <= lo or y <= lo:
+                break
+            if x > k * block:
+                bits: list = []
+                self.sweep(rows[k * block : min(hi_a, (k + 1) * block)], states[k], bits)
+                walk(bits, k * block)
+        return out
+
+
 def match_trees(a: Shape, b: Shape, cells: int = CELLS) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching of two trees with equal root names: (weight, pairs of aligned
     nodes). The weight counts aligned nodes, and text runs with equal text twice; names
-    and the order of siblings are kept."""
-    left = [cells]
-    out: dict[tuple[int, int], tuple[int, list]] = {}
+    and the order of siblings are kept. It is the largest there is; of alignments that have it the
+    same one is given, whether cells are filled one by one (up to ``cells``) or by arrays."""
     theirs = set(b.crc) - {0}
     shared = [i for i, c in enumerate(a.crc) if c in theirs]
 
@@ -301,10 +449,9 @@ def match_trees(a: Shape, b: Shape, cells: int = CELLS) -> tuple[int, list[tuple
         pairs = [(i + k, j + k) for k in range(a.end[i] - i)]
         return len(pairs) + sum(a.name[x] == "#" and a.crc[x] == b.crc[y] for x, y in pairs), pairs
 
-    def solve(i, j):
-        """A generator that asks for the matches of pairs below (i, j) it depends on."""
-        if a.full[i] == b.full[j]:
-            return whole(i, j)
+    def trimmed(i, j):
+        """(total, pairs) of (i, j) and its first and last children that are as good a match as
+        can be; where the others begin and end, in a and in b."""
         rows, cols = a.kids[i], b.kids[j]
         total, pairs = 1 + (a.name[i] == "#" and a.crc[i] == b.crc[j]), [(i, j)]
         lo, hi_a, hi_b = 0, len(rows), len(cols)
@@ -328,13 +475,25 @@ def match_trees(a: Shape, b: Shape, cells: int = CELLS) -> tuple[int, list[tuple
                 got, mine = whole(rows[hi_a], cols[hi_b])
                 total += got
                 pairs += mine
-        rows, cols = rows[lo:hi_a], cols[lo:hi_b]
-        if not rows or not cols:
-            return total, pairs
-        if len(rows) * len(cols) > left[0]:
-            chosen = in_order(rows, cols)
-        else:
-            left[0] -= len(rows) * len(cols)
+        return total, pairs, lo, hi_a, hi_b
+
+    def one_by_one(root):
+        """The pairs of two subtrees; None if that takes more than ``cells``."""
+        left = cells
+        out: dict[tuple[int, int], tuple[int, list]] = {}
+
+        def solve(i, j):
+            """A generator that asks for the matches of pairs below (i, j) it depends on."""
+            nonlocal left
+            if a.full[i] == b.full[j]:
+                return whole(i, j)
+            total, pairs, lo, hi_a, hi_b = trimmed(i, j)
+            rows, cols = a.kids[i][lo:hi_a], b.kids[j][lo:hi_b]
+            if not rows or not cols:
+                return total, pairs
+            left -= len(rows) * len(cols)
+            if left < 0:
+                return None
             best = [[0] * (len(cols) + 1) for _ in range(len(rows) + 1)]
             for x, r in enumerate(rows):
                 for y, c in enumerate(cols):
@@ -356,78 +515,53 @@ def match_trees(a: Shape, b: Shape, cells: int = CELLS) -> tuple[int, list[tuple
                 else:
                     x, y = x - 1, y - 1
                     chosen.append((rows[x], cols[y]))
-        for r, c in chosen:
-            got, mine = yield r, c
-            total += got
-            pairs += mine
-        return total, pairs
-
-    def in_order(rows, cols):
-        """Equal subtrees that are single on both sides in their longest common order,
-        between them the children in turn if names agree, by structure first."""
-        def single(values):
-            seen: dict = {}
-            for k, v in enumerate(values):
-                seen[v] = k if v not in seen else -1
-            return seen
-
-        ours, theirs = single([a.full[r] for r in rows]), single([b.full[c] for c in cols])
-        common = sorted((x, theirs[h]) for h, x in ours.items() if x >= 0 and theirs.get(h, -1) >= 0)
-        anchors = longest_rise(common)
-        chosen, x, y = [], 0, 0
-        for p, q in [*anchors, (len(rows), len(cols))]:
-            while x < p and y < q:
-                if a.name[rows[x]] == b.name[cols[y]]:
-                    chosen.append((rows[x], cols[y]))
-                    x, y = x + 1, y + 1
-                elif p - x > q - y:
-                    x += 1
-                else:
-                    y += 1
-            if p < len(rows):
-                chosen.append((rows[p], cols[q]))
-            x, y = p + 1, q + 1
-        return chosen
-
-    stack = [((0, 0), solve(0, 0), None)]
-    answer = None
-    while stack:  # in place of recursion
-        key, work, answer = stack[-1]
-        try:
-            wanted = work.send(answer) if answer is not None else next(work)
-        except StopIteration as done:
-            out[key] = done.value
-            stack.pop()
-            if not stack:
-                return done.value
-            stack[-1] = (*stack[-1][:2], done.value)
+            for r, c in chosen:
+                got, mine = yield r, c
+                total += got
+                pairs += mine
+            return total, pairs
+
+        stack = [(root, solve(*root), None)]
+        while True:  # in place of recursion
+            key, work, answer = stack[-1]
+            try:
+                wanted = work.send(answer) if answer is not None else next(work)
+            except StopIteration as done:
+                if done.value is None:
+                    return None
+                out[key] = done.value
+                stack.pop()
+                if not stack:
+                    return done.value[1]
+                stack[-1] = (*stack[-1][:2], done.value)
+                continue
+            if wanted in out:
+                stack[-1] = (key, work, out[wanted])
+            else:
+                stack[-1] = (key, work, None)
+                stack.append((wanted, solve(*wanted), None))
+
+    pairs, todo = [], [(0, 0)]
+    while todo:
+        root = todo.pop()
+        found = one_by_one(root)
+        if found is not None:
+            pairs += found
             continue
-        if wanted in out:
-            stack[-1] = (key, work, out[wanted])
-        else:
-            stack[-1] = (key, work, None)
-            stack.append((wanted, solve(*wanted), None))
-    return answer
-
-
-def longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest part of pairs (ascending in the first) that ascends in the second."""
-    tops: list[int] = []
-    ends: list[int] = []
-    before = []
-    for k, (_, y) in enumerate(pairs):
-        at = bisect_left(tops, y)
-        before.append(ends[at - 1] if at else -1)
-        if at == len(tops):
-            tops.append(y)
-            ends.append(k)
-        else:
-            tops[at], ends[at] = y, k
-    out, k = [], ends[-1] if ends else -1
-    while k >= 0:
-        out.append(pairs[k])
-        k = before[k]
-    return out[::-1]
+        grid, stack = Grid(a, b, *root), [root]
+        while stack:
+            i, j = stack.pop()
+            if a.full[i] == b.full[j]:
+                pairs += whole(i, j)[1]
+                continue
+            _, mine, lo, hi_a, hi_b = trimmed(i, j)
+            chosen = grid.chosen(i, j, lo, hi_a, hi_b) if lo < min(hi_a, hi_b) else []
+            if chosen is None:
+                todo.append((i, j))
+            else:
+                pairs += mine
+                stack += chosen
+    return len(pairs) + sum(a.name[x] == "#" and a.crc[x] == b.crc[y] for x, y in pairs), pairs
 
 
 def constant_runs(tree: Tree, refs: list[Shape]) -> set[int] | None:

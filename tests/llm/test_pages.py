@@ -55,6 +55,29 @@ def test_matching_is_the_largest_alignment():
         h.match_trees(a, b, 3)  # with few cells still an alignment
 
 
+def test_matching_does_not_depend_on_its_size(monkeypatch):
+    """Cells one by one, by arrays, and by arrays in blocks of rows give the same pairs."""
+    rng = random.Random(5)
+    held = h.HELD, h.WEIGHTS
+    for k in range(300):
+        a, b = (h.Shape.of(h.parse(random_page(rng) + random_page(rng))) for _ in range(2))
+        weight, pairs = h.match_trees(a, b)
+        assert weight == slow_weight(a, b)
+        for cells, bits, kept in ((0, *held), (3, *held), (0, 40, 0), (3, 0, *held[1:]), (20, 200, 64)):
+            monkeypatch.setattr(h, "HELD", bits)
+            monkeypatch.setattr(h, "WEIGHTS", kept)
+            got = h.match_trees(a, b, cells)
+            assert (got[0], sorted(got[1])) == (weight, sorted(pairs))
+        monkeypatch.setattr(h, "HELD", held[0])
+        monkeypatch.setattr(h, "WEIGHTS", held[1])
+    # more children than are filled one by one, with texts that meet again elsewhere
+    made = lambda n: h.Shape.of(h.parse("<div>" + "".join(f"<section>{'<p>x</p>' * rng.randint(0, 3)}<p>{rng.randrange(400)}</p></section>" for _ in range(n)) + "</div>"))
+    a, b = made(250), made(260)
+    assert 250 * 260 > h.CELLS
+    (weight, pairs), (want, whole) = h.match_trees(a, b), h.match_trees(a, b, 10**9)
+    assert (weight, sorted(pairs)) == (want, sorted(whole))
+
+
 def test_deep_and_wide_pages_take_seconds(spark):
     began = time.time()
     deep = "<div>" * 10_000 + "<p>down here</p>" + "</div>" * 10_000
