@@ -80,6 +80,49 @@ def test_near_copies_at_the_bound_and_in_large_groups(spark):
         similar.FEW, similar.FASTER, similar.ENOUGH = held
 
 
+def test_pairs_are_verified_whatever_way_the_sets_take(spark, monkeypatch):
+    """Hubs, single pairs and long texts, by broadcast and by shuffle."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    draw = random.Random(11)
+    texts = []
+    for k in range(12):
+        base = [f"w{draw.randrange(10**7)}" for _ in range(400)]
+        for _ in range(40 if k < 2 else 6):
+            own = list(base)
+            for _ in range(draw.choice((0, 3, 12, 25))):
+                own[draw.randrange(400)] = "x"
+            texts.append((k, " ".join(own)))
+    sets = [plain_set(t) for _, t in texts]
+    pairs = [(i, j) for i, x in enumerate(texts) for j, y in enumerate(texts[:i]) if x[0] == y[0] and (j % 6 == 0 or draw.random() < 0.1)] + [(3, 470 % len(texts)), (5, 100)]
+    want = sorted((min(p), max(p)) for p in pairs if 5 * len(sets[p[0]] & sets[p[1]]) >= 4 * len(sets[p[0]] | sets[p[1]]))
+    assert 0 < len(want) < len(pairs)
+    rows = spark.createDataFrame([(i, t.encode()) for i, (_, t) in enumerate(texts)], "node long, raw binary").repartition(3)
+    asked = spark.createDataFrame(pairs, "a long, b long").repartition(3)
+    for light, hot, most in ((500_000, 1000, 1 << 16), (0, 1000, 1 << 16), (500_000, 20, 1 << 16), (0, 20, 1 << 16), (500_000, 20, 100), (500_000, 1, 1 << 16)):
+        monkeypatch.setattr(similar, "LIGHT", light)
+        monkeypatch.setattr(similar, "HOT", hot, raising=False)
+        monkeypatch.setattr(similar, "HOT_BYTES", most)
+        got = similar._verified(rows, asked).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).collect()
+        assert sorted(map(tuple, got)) == want
+
+
+def test_rows_are_not_shuffled_to_drop_some(spark):
+    """However large the rows: the keys of those that go are broadcast."""
+    docs = spark.range(100).selectExpr("cast(id as string) as key", "repeat('x', 1000) as text")
+    groups = spark.range(40).selectExpr("cast(id as string) as key", "cast(id div 2 * 2 as string) as best")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = survivors.survivors(docs, "key", groups)
+        assert left.count() == 80
+        assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_one_row_of_each_group_stays(spark):
     """Null, repeated and tied ids, a large group of equal rows, clashing names."""
     text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
