@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwork.llm.common import cut, table, workers_import
+from meshwork.llm.common import cut, few_rows, table, workers_import
 from meshwork.llm.survivors import fresh_name, row_key, survivors
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -133,12 +133,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     after = dict(zip(parts, parts[1:], strict=False))
     same: set = set()
     if after:
-        pairs = spark.createDataFrame(list(after.items()), "part int, next int")
+        pairs = few_rows(spark, list(after.items()), "part int, next int")
         joined = last.join(pairs, "part").join(first.withColumnRenamed("part", "next"), "next")
         same = {r[0] for r in joined.where("last = first").select("next").collect()}
     edges = sorted(tuple(r) for r in tops.select("part", "edge", "run", "n", "low", "high").collect())
     edges.sort(key=lambda r: (r[0], r[2]))
-    totals = spark.createDataFrame(stitch(edges, same), f"part int, run long, all_n long, all_low {kind}, all_high {kind}")
+    totals = few_rows(spark, stitch(edges, same), f"part int, run long, all_n long, all_low {kind}, all_high {kind}")
     joined = rows.drop("content").join(F.broadcast(totals), ["part", "run"], "left")
     own, whole = ("low", "all_low") if keep == "smallest" else ("high", "all_high")
     keep_id = F.when(F.col("all_n").isNotNull(), F.col(whole)).otherwise(F.col(own))

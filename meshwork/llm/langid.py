@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshwork.llm import ngrams
-from meshwork.llm.common import draw, fold, table, workers_import
+from meshwork.llm.common import draw, few_rows, fold, table, workers_import
 
 BITS = 15
 ROWS_PER_LANGUAGE = 5_000
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not sizes:
         return Model([], np.zeros((0, 1 << bits)), bits)
     languages = sorted(sizes)
-    share = spark.createDataFrame([(k, min(1.0, rows_per_language / sizes[k])) for k in languages], "tongue string, share double")
+    share = few_rows(spark, [(k, min(1.0, rows_per_language / sizes[k])) for k in languages], "tongue string, share double")
     sample = usable.join(F.broadcast(share), "tongue").where(draw("id") < F.col("share")).select("tongue", "body")
 
     def count(batches):
