@@ -246,12 +246,15 @@ def _united(edges: DataFrame) -> DataFrame:
     return cut(edges.select("a", "b").coalesce(1).mapInArrow(run, "node long, root long"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, total: int | None = None) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b) but the roots: the root is
     its component's smallest node. Alternates large-star and small-star steps,
     both made of aggregates and joins, until the edges no longer change. The files of a
     step are released after the next one. Up to ``TOGETHER`` edges one task gives the
-    same, as a step costs many small files however few the edges."""
+    same, as a step costs many small files however few the edges. total: the number of
+    rows of ``edges``, if it is known; up to ``TOGETHER`` they needn't be told apart first."""
+    if total is not None and total <= TOGETHER:
+        return _united(edges)
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     before = None
     while True:
